@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import bpe, common, language_id, quality_classifier, simhash
+from obsmill.llm import bpe, common, language_id, mixing, quality_classifier, quality_rules, resharding, simhash
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,21 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", digests("text").alias("x")).select("doc_id", "x.*")
 
 
+def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law bytes. The old shards are the sources' hashes, which are as uneven as the sources."""
+    docs = common.table(spark, sf_dir, "documents")
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce("source", F.lit("")).alias("source"))
+    old = F.pmod(F.xxhash64("source"), F.lit(16))
+    out = resharding.assign(rows, F.struct(common.id_text(), "text_crc32"), "size", old, 16, 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return simhash.near_duplicates(docs.select("doc_id", "text")).select("doc_id", "fingerprint", "component_id")
@@ -39,6 +54,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (common.fold(5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return mixing.copies(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
