@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import bpe, common, language_id, mixing, quality_classifier, quality_rules, resharding, simhash
+from obsmill.llm import bpe, common, language_id, lm_score, mixing, quality_classifier, quality_rules, resharding, simhash
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    out = lm_score.score(docs, common.fold(10) != 0)
+    return out.select("doc_id", (common.fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
