@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import bpe, common, language_id, lm_score, mixing, quality_classifier, quality_rules, resharding, simhash
+from obsmill.llm import bpe, common, language_id, lm_score, media, mixing, quality_classifier, quality_rules, resharding, simhash
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +54,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (common.fold(5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", media.media_columns(F.col("text")).alias("m")).select("doc_id", "m.*")
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return mixing.copies(docs).select("doc_id", "size", "source_size", "target", "taken")
