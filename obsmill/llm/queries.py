@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import bpe, common, language_id, lm_score, media, mixing, quality_classifier, quality_rules, resharding, simhash
+from obsmill.llm import bpe, common, html_extract, language_id, lm_score, media, mixing, quality_classifier, quality_rules, resharding, simhash
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +59,12 @@ def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", media.media_columns(F.col("text")).alias("m")).select("doc_id", "m.*")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages")
+    out = html_extract.extract(pages.select("page_id", "url", "html"), html_extract.fit(pages))
+    return out.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return mixing.copies(docs).select("doc_id", "size", "source_size", "target", "taken")
