@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsmill.llm import common
+
 #: The characters of the White_Space property.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 CACHED = 800_000
@@ -240,14 +242,20 @@ def digest_udf(spark: SparkSession, model: Encoder):
 
 
 def encode(docs: DataFrame, model: Encoder, text: str = "text") -> DataFrame:
-    """docs with token_ids (array of int); an id column of that name is replaced."""
+    """docs with token_ids (array of int), n_tokens and round_trip (whether the ids decode to the text); columns of these names are replaced."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<int>")
-    def ids(column: pd.Series) -> pd.Series:
-        return pd.Series([held.value.encode(t or "") for t in column.tolist()], dtype=object)
-
-    return docs.withColumn("token_ids", ids(F.col(text)))
+    @F.pandas_udf("token_ids array<int>, n_tokens long, round_trip boolean")
+    def ids(column: pd.Series) -> pd.DataFrame:
+        texts = [t or "" for t in column.tolist()]
+        found = [held.value.encode(t) for t in texts]
+        same = [held.value.decode(x) == t.encode() for x, t in zip(found, texts, strict=True)]
+        return pd.DataFrame({"token_ids": found, "n_tokens": [len(x) for x in found], "round_trip": same})
+
+    names = ("token_ids", "n_tokens", "round_trip")
+    kept = [c for c in docs.columns if c not in names]
+    place = common.fresh(docs, "encoded")
+    return docs.select(*kept, ids(F.col(text)).alias(place)).select(*kept, f"{place}.*")
 
 
 def decode(docs: DataFrame, model: Encoder, ids: str = "token_ids") -> DataFrame:

@@ -68,6 +68,13 @@ class Scratch:
         return back
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def id_text(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))
 

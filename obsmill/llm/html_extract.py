@@ -7,8 +7,10 @@ holds main text. Decoding picks keep or drop for all elements at once: a dropped
 below it, a kept one has kept ancestors, and the joint likelihood is the greatest under that rule.
 
 The tables hold no marked pages, so the training labels are weak: rules of high precision on the markup (roles,
-tags and tokens of a fixed list), on a bounded sample of pages. Half of the training rows have their tags and
-tokens blanked, so that the trees also learn what densities and places say where the markup is mute.
+tags and tokens of a fixed list), on a bounded sample of pages. Each sampled page also comes in variants, whose
+main element has another tag or class and which have further boilerplate (of the page's own sentences) put in.
+A quarter of the training rows have their tags and tokens blanked, so that the trees also learn what densities
+and places say where the markup is mute.
 
 Defined results: null and empty html give the empty text, as does a page without main text. Unclosed and
 stray tags are closed as browsers would for the common cases. Repeated rows and ids are each extracted; an empty
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -198,7 +201,7 @@ def features(nodes: list[Node]) -> np.ndarray:
 
 NUMBERS = 26
 WIDTH = NUMBERS + len(TAGS) + MORE
-#: What is blanked in half of the training rows: everything that the weak labels read.
+#: What is blanked in a quarter of the training rows: everything that the weak labels read.
 BLANKED = [5, 6, 7, 8, 19, 20, 21, 22, 23, 24, *range(NUMBERS, WIDTH)]
 
 
@@ -222,6 +225,42 @@ def weak_labels(nodes: list[Node], blocks: list[tuple[int, str]]) -> np.ndarray:
     return good
 
 
+MAIN_MARKUP = (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ('<div id="main-text">', "</div>"), ('<div class="post-body">', "</div>"), ("<section>", "</section>"), ("<div>", "</div>"))
+BOILER_MARKUP = (
+    '<div class="{w}">{t}</div>', '<div id="{w}-box"><p>{t}</p></div>', '<section class="site-{w}"><h3>{t}</h3><p>{t}</p><p>{t}</p></section>', '<div class="{w}"><div><p>{t}</p></div><div><p>{t}</p></div></div>',
+    "<aside><h4>{t}</h4><p>{t}</p></aside>", '<ul class="{w}"><li><a href="#">{t}</a></li><li><a href="#">{t}</a></li></ul>', "<form><label>{t}</label><input><p>{t}</p></form>", "<footer><p>{t}</p></footer>", '<header><h1>{t}</h1><a href="/">{t}</a></header>', "<nav><a>{t}</a><a>{t}</a></nav>",
+)
+
+
+CONTENT_MARKUP = ("<h2>{t}</h2><p>{t}</p>", "<ul><li>{t}</li><li>{t}</li><li>{t}</li></ul>", "<ol><li>{t}</li><li>{t}</li></ol>", "<blockquote><p>{t}</p></blockquote>", "<table><tr><td>{t}</td><td>{t}</td></tr></table>", "<pre>{t}</pre>", "<div><p>{t}</p><p>{t}</p></div>", "<figure><figcaption>{t}</figcaption></figure>")
+
+
+def variant(page: str, sentences: list[str], rng: np.random.Generator) -> str:
+    """The page with another main element, further content in it, and further boilerplate before, in and after it."""
+    words = sorted(BOILER_WORDS)
+    pick = lambda many: many[rng.integers(len(many))]
+
+    def filled(markup: str) -> str:
+        parts = markup.split("{t}")
+        return "".join(x for part in parts[:-1] for x in (part, pick(sentences))) + parts[-1]
+
+    def boiler() -> str:
+        return filled(pick(BOILER_MARKUP).replace("{w}", pick(words)))
+
+    begin, end = page.find("<article>"), page.rfind("</article>")
+    if begin < 0 or end < begin:
+        at = page.find("<body>")
+        return page if at < 0 else page[: at + 6] + boiler() + page[at + 6 :]
+    opening, closing = pick(MAIN_MARKUP)
+    main = page[begin + 9 : end]
+    for more in ([boiler()] if rng.random() < 0.5 else []) + [filled(pick(CONTENT_MARKUP)) for _ in range(rng.integers(4))]:
+        cut = main.find("<p>", int(rng.integers(max(1, len(main)))))
+        cut = len(main) if cut < 0 else cut
+        main = main[:cut] + more + main[cut:]
+    some = lambda: "".join(boiler() for _ in range(rng.integers(3)))
+    return page[:begin] + some() + opening + main + closing + some() + page[end + 10 :]
+
+
 @dataclass
 class Forest:
     """Complete binary trees over binned features: bin edges, and for each tree its splits and leaves."""
@@ -247,7 +286,7 @@ class Forest:
         return out
 
 
-def train(x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 4, rate: float = 0.3, bins: int = 32, ridge: float = 1.0) -> Forest:
+def train(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 5, rate: float = 0.3, bins: int = 32, ridge: float = 1.0) -> Forest:
     """Gradient boosting of the logistic loss, each level split by histograms of gradients and curvatures."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])] if len(x) else [np.zeros(0)] * x.shape[1]
     share = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
@@ -312,23 +351,27 @@ def main_texts(pages: list[str | None], forest: Forest) -> list[str]:
     return out
 
 
-def fit(pages: DataFrame, page_id: str = "page_id", html_: str = "html", most: int = 400) -> Forest:
+def fit(pages: DataFrame, page_id: str = "page_id", html_: str = "html", most: int = 300) -> Forest:
     """Train on a bounded sample: about ``most`` whole pages at the most, chosen by a hash of their id."""
     rows = pages.select(F.col(page_id).alias("doc_id"), F.col(html_).alias("html"), F.lit(0).alias("all"))
     sample = common.bounded_sample(rows, "all", most)
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for page in pdf["html"].sort_values():
+            for page in pdf["html"]:
                 nodes, blocks = read(page)
-                yield pd.DataFrame({"x": [features(nodes).tobytes()], "y": [weak_labels(nodes, blocks).astype(np.int8).tobytes()]})
+                rng = np.random.default_rng(zlib.crc32((page or "").encode("utf-8", "replace")))
+                sentences = [x + "." for _, text in blocks for x in text.split(". ")] or ["."]
+                for nodes, blocks in [(nodes, blocks), *[read(variant(page or "", sentences, rng)) for _ in range(3)]]:
+                    yield pd.DataFrame({"x": [features(nodes).tobytes()], "y": [weak_labels(nodes, blocks).astype(np.int8).tobytes()]})
 
     got = sample.select("html").mapInPandas(rows_of, "x binary, y binary").toPandas().sort_values(["x", "y"])
     x = np.concatenate([np.zeros((0, WIDTH), np.float32), *[np.frombuffer(b, np.float32).reshape(-1, WIDTH) for b in got["x"]]])
     y = np.concatenate([np.zeros(0, np.int8), *[np.frombuffer(b, np.int8) for b in got["y"]]])
-    blank = x.copy()
+    some = np.arange(len(x)) % 3 == 0
+    blank = x[some]
     blank[:, BLANKED] = 0
-    return train(np.concatenate([x, blank]), np.concatenate([y, y]).astype(float))
+    return train(np.concatenate([x, blank]), np.concatenate([y, y[some]]).astype(float))
 
 
 def extract(pages: DataFrame, forest: Forest, html_: str = "html") -> DataFrame:

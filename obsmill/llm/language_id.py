@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmill.llm import common, textnum
@@ -152,5 +152,19 @@ def identify(docs: DataFrame, model: LanguageFilter | None, text: str = "text")
     return out.select(*docs.columns, "_language.*")
 
 
+def accepter(spark: SparkSession, model: LanguageFilter | None, least_coverage: float = 0.2):
+    """A column function: whether a text has a language and the language holds that share of its n-grams."""
+    held = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def accepted(column: pd.Series) -> pd.Series:
+        if held.value is None:
+            return pd.Series([False] * len(column))
+        names, _, coverage = held.value.predict(column.tolist())
+        return pd.Series([n != UNKNOWN and c >= least_coverage for n, c in zip(names, coverage, strict=True)])
+
+    return accepted
+
+
 def training_rows(docs: DataFrame) -> DataFrame:
     return docs.where(common.fold(4) != 2)

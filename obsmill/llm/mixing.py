@@ -77,13 +77,13 @@ def copies(docs: DataFrame, text: str = "text", source: str = "source", carry: t
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
     """docs, each row as often as the mix takes it."""
-    counts = copies(docs.withColumn("_text_hash", F.xxhash64(text)), text, source, carry=("_text_hash",))
-    per = counts.groupBy("doc_id", "_text_hash", F.col("source").alias("_source")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    per = per.where("_copies > 0").withColumnsRenamed({"doc_id": "_id", "_text_hash": "_hash"})
-    rows = docs.withColumn("_text_hash", F.xxhash64(text))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")) & F.col(source).eqNullSafe(F.col("_source"))
+    mark = common.fresh(docs, "text_hash")
+    counts = copies(docs.select("doc_id", text, source, F.xxhash64(text).alias(mark)), text, source, carry=(mark,))
+    total, number, of_id, of_mark, of_source, nth, own, copy = (common.fresh(docs, x) for x in ("total", "number", "of_id", "of_mark", "of_source", "nth", "own", "copy"))
+    per = counts.groupBy(F.col("doc_id").alias(of_id), F.col(mark).alias(of_mark), F.col("source").alias(of_source)).agg(F.sum("copies").alias(total), F.count("*").alias(number)).where(F.col(total) > 0)
+    on = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.col(mark) == F.col(of_mark)) & F.col(source).eqNullSafe(F.col(of_source))
     # Rows repeated in the input share their copies: the first ones take what doesn't divide.
-    nth = F.row_number().over(Window.partitionBy("doc_id", "_text_hash", source).orderBy(F.lit(1)))
-    joined = rows.join(per, on).withColumn("_nth", nth)
-    own = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_nth") <= F.pmod(F.col("_copies"), F.col("_rows")), 1).otherwise(0)
-    return joined.withColumn("_own", own.cast("int")).where("_own > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_own")))).select(*docs.columns)
+    joined = docs.withColumn(mark, F.xxhash64(text)).join(per, on).withColumn(nth, F.row_number().over(Window.partitionBy("doc_id", mark, source).orderBy(F.lit(1))))
+    share = F.floor(F.col(total) / F.col(number)) + F.when(F.col(nth) <= F.pmod(F.col(total), F.col(number)), 1).otherwise(0)
+    out = joined.withColumn(own, share.cast("int")).where(F.col(own) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(own))))
+    return out.select(*docs.columns)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmill.llm import common, textnum
@@ -99,15 +99,17 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs
     return Classifier((logits[:, 1] - logits[:, 0]).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", most: int = 1500) -> Classifier:
+def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1500) -> Classifier:
     """Fit on a bounded sample: about ``most`` whole documents of each label at the most, chosen by a hash of doc_id.
 
-    The label's true shares are restored by repeating nothing: rows of a label sampled at rate r weigh 1 / r
-    through the bias of the output, which is shifted by the difference of the log rates.
+    marks has doc_id and label. The sample is drawn from it, so that it, not the texts, is what is sent around;
+    an id that several documents share stands for the greatest of their texts. What sampling changes in the
+    labels' shares is put back into the output bias.
     """
-    rows = labelled.where(F.col(label).isNotNull()).select("doc_id", F.col(text).alias("text"), (F.col(label) > 0).cast("int").alias("label"))
-    totals = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
-    sample = common.bounded_sample(rows, "label", most)
+    known = marks.where("doc_id is not null and label is not null").select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
+    totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
+    drawn = common.bounded_sample(known, "label", most).distinct()
+    sample = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.max("text").alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -125,18 +127,22 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", most: int
     return model
 
 
-def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
-    """docs with quality_score, the probability of label 1."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, model: Classifier):
+    """A column function: text to the probability of label 1."""
+    held = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def scores(column: pd.Series) -> pd.Series:
         return pd.Series(held.value.scores(column.tolist()))
 
-    return docs.withColumn("quality_score", scores(F.col(text)))
+    return scores
+
+
+def score(docs: DataFrame, model: Classifier, text: str = "text") -> DataFrame:
+    """docs with quality_score."""
+    return docs.withColumn("quality_score", scorer(docs.sparkSession, model)(F.col(text)))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The labelled rows outside the hold-out: doc_id, text, label."""
-    marks = labels.where(common.fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+def training_marks(labels: DataFrame) -> DataFrame:
+    """The labels outside the hold-out: doc_id, label."""
+    return labels.where(common.fold(5) != 0).select("doc_id", F.col("quality").alias("label"))

@@ -49,7 +49,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = quality_classifier.fit(quality_classifier.training_rows(docs, common.table(spark, sf_dir, "labels")))
+    model = quality_classifier.fit(docs, quality_classifier.training_marks(common.table(spark, sf_dir, "labels")))
     out = quality_classifier.score(docs, model)
     return out.select("doc_id", (common.fold(5) == 0).alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= 0.3).cast("int").alias("predicted"))
 

@@ -103,8 +103,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", width: int = 3, carry:
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """One row of each component of near-duplicates stays: that of the smallest doc_id (then of the smallest text hash)."""
-    rows = near_duplicates(docs.withColumn("_text_hash", F.xxhash64(text)), text, carry=("_text_hash",))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_text_hash")
-    first = rows.groupBy(F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).agg(F.min(order).alias("first")).select("first.*").distinct()
-    kept = docs.withColumn("_text_hash", F.xxhash64(text)).alias("d").join(first.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d._text_hash") == F.col("f._text_hash")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    mark = common.fresh(docs, "text_hash")
+    rows = near_duplicates(docs.select("doc_id", text, F.xxhash64(text).alias(mark)), text, carry=(mark,))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", mark)
+    first = rows.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp")).agg(F.min(order).alias("first")).select("first.*").distinct()
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col(f"d.{mark}") == F.col(f"f.{mark}"))
+    kept = docs.withColumn(mark, F.xxhash64(text)).alias("d").join(first.alias("f"), same, "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).drop(mark)
