@@ -30,7 +30,7 @@ from obsmill.llm import common
 
 #: The characters of the White_Space property.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-CACHED = 800_000
+CACHED = 250_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: A space beside other white space; without one, every space begins a chunk.
 BESIDE = re.compile(f" [{WHITE_SPACE}]|[{WHITE_SPACE}] ")
@@ -82,6 +82,7 @@ class Vocabulary:
         self.bytes_of: list[bytes] = [b""] * self.size
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
+        self.sizes = [len(x) for x in self.bytes_of]
         self.left, self.right = list(range(self.size)), list(range(self.size))
         self.pairs: dict[int, int] = {}
         self.reached: list[int] = []
@@ -145,9 +146,6 @@ class Encoder:
         before the part undone last was made would have crossed it.
         """
         key = a << 32 | b
-        known = self.fits.get(key)
-        if known is not None:
-            return known
         if len(self.fits) > CACHED:
             self.fits.clear()
         left, right, pairs, before = self.v.left, self.v.right, self.v.pairs, self.v.size
@@ -172,24 +170,29 @@ class Encoder:
         whole = self.v.ranks.get(raw)
         if whole is not None:
             return (whole,)
-        longest = [-1] * len(raw)
+        longest = [-1] * (len(raw) + 1)
         for end, (token, back) in self.automaton.iter(raw.decode("latin-1")):
             longest[end - back] = token
-        lengths, shorter, compatible = self.v.bytes_of, self.v.shorter, self._compatible
-        alive, out, at, token = bytearray(b"\1") * (len(raw) + 1), [], 0, longest[0]
-        while at < len(raw):
-            end = at + len(lengths[token])
-            if alive[end] and (not out or compatible(out[-1], token)):
-                out.append(token)
-                at = end
-                token = longest[at] if at < len(raw) else -1
-                continue
+        sizes, shorter, fits = self.v.sizes, self.v.shorter, self.fits
+        alive, out, at, last, goal = bytearray(b"\1") * (len(raw) + 1), [], 0, -1, len(raw)
+        token = longest[0]
+        while at < goal:
+            end = at + sizes[token]
+            if alive[end]:
+                fit = last < 0 or fits.get(last << 32 | token)
+                if fit is None:
+                    fit = self._compatible(last, token)
+                if fit:
+                    out.append(token)
+                    at, last, token = end, token, longest[end]
+                    continue
             token = shorter[token]
             while token < 0:  # nothing fits here: the place is dead and the last token gets shorter
                 alive[at] = 0
-                last = out.pop()
-                at -= len(lengths[last])
-                token = shorter[last]
+                token = out.pop()
+                at -= sizes[token]
+                last = out[-1] if out else -1
+                token = shorter[token]
         return tuple(out)
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
