@@ -63,7 +63,7 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(out, -60, 60)))
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs: int = 12, batch: int = 32, rate: float = 1.0, seed: int = 5) -> Classifier:
+def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs: int = 10, batch: int = 32, rate: float = 1.0, seed: int = 5) -> Classifier:
     """Stochastic gradient descent on (buckets, counts, label) rows, in mini-batches, with a falling rate."""
     labels = {r[2] for r in rows}
     if len(labels) < 2:
@@ -99,7 +99,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs
     return Classifier((logits[:, 1] - logits[:, 0]).astype(np.float64), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1500) -> Classifier:
+def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1000) -> Classifier:
     """Fit on a bounded sample: about ``most`` whole documents of each label at the most, chosen by a hash of doc_id.
 
     marks has doc_id and label. The sample is drawn from it, so that it, not the texts, is what is sent around;
