@@ -83,13 +83,13 @@ def bounds(measured: DataFrame, lang: str = "lang", source: str = "source", spre
     def merged(*by: str) -> DataFrame:
         return groups.where("n > 0").groupBy(*by).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(x, k).alias(x) for x in LEAST_GAP])
 
-    def upper(x: str) -> Column:
+    def upper(x: str, at_least: int = least) -> Column:
         q = lambda p: F.kll_sketch_get_quantile_double(F.col(x), F.lit(p))
-        return F.when(F.col("n") >= least, q(0.75) + spread * F.greatest(q(0.75) - q(0.25), F.lit(LEAST_GAP[x]))).alias(x)
+        return F.when(F.col("n") >= at_least, q(0.75) + spread * F.greatest(q(0.75) - q(0.25), F.lit(LEAST_GAP[x]))).alias(x)
 
     one = groups.select("lang", "source", *[upper(x) for x in LEAST_GAP]).alias("g")
     two = merged("lang").select("lang", *[upper(x) for x in LEAST_GAP]).alias("l")
-    all_ = merged().withColumn("n", F.lit(least)).select(*[upper(x) for x in LEAST_GAP]).alias("a")
+    all_ = merged().select(*[upper(x, 1) for x in LEAST_GAP]).alias("a")
     joined = one.join(two, F.col("g.lang").eqNullSafe(F.col("l.lang")), "left").join(F.broadcast(all_), F.lit(True), "left")
     return joined.select("g.lang", "g.source", *[F.coalesce(f"g.{x}", f"l.{x}", f"a.{x}").alias(f"{x}_bound") for x in LEAST_GAP])
 
