@@ -30,7 +30,7 @@ from obsmill.llm import common
 
 #: The characters of the White_Space property.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-CACHED = 250_000
+CACHED, FITS = 450_000, 250_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: A space beside other white space; without one, every space begins a chunk.
 BESIDE = re.compile(f" [{WHITE_SPACE}]|[{WHITE_SPACE}] ")
@@ -146,7 +146,7 @@ class Encoder:
         before the part undone last was made would have crossed it.
         """
         key = a << 32 | b
-        if len(self.fits) > CACHED:
+        if len(self.fits) > FITS:
             self.fits.clear()
         left, right, pairs, before = self.v.left, self.v.right, self.v.pairs, self.v.size
         verdict = True
