@@ -30,7 +30,7 @@ from obsmill.llm import common
 
 #: The characters of the White_Space property.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-CACHED, FITS = 450_000, 250_000
+CACHED, PIECES, FITS = 450_000, 450_000, 250_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: A space beside other white space; without one, every space begins a chunk.
 BESIDE = re.compile(f" [{WHITE_SPACE}]|[{WHITE_SPACE}] ")
@@ -113,10 +113,11 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.v, self.source = vocabulary, pattern
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.fits: dict[int, bool] = {}
 
     def __getstate__(self) -> dict:
-        return {"v": self.v, "source": self.source, "cache": {}, "fits": {}}
+        return {"v": self.v, "source": self.source, "cache": {}, "pieces": {}, "fits": {}}
 
     @cached_property
     def pattern(self) -> re.Pattern:
@@ -197,7 +198,14 @@ class Encoder:
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         pattern = self.pattern if ASTRAL.search(chunk) else self.plain
-        return tuple(chain.from_iterable(map(self._piece, pattern.findall(chunk))))
+        pieces = pattern.findall(chunk)
+        kept = self.pieces
+        if len(kept) > PIECES:
+            kept.clear()
+        for piece in pieces:
+            if piece not in kept:
+                kept[piece] = self._piece(piece)
+        return tuple(chain.from_iterable(map(kept.__getitem__, pieces)))
 
     def encode(self, text: str) -> list[int]:
         """Chunks are runs of white space with the run of other characters after it: no pre-token crosses their bounds."""
