@@ -19,6 +19,11 @@ def keep_first(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def first_n(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
+    """The first n rows of each group; Spark cuts groups to n before they are shuffled."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+
+
 def inventory(df: DataFrame, size: str, key: str, group: list[str] | None = None) -> DataFrame:
     """Rank by size, percentile, and quartile floor(4 i / n) + 1, within group."""
     w = Window.partitionBy(*(group or []))
