@@ -46,3 +46,27 @@ def remark(text: Column) -> Column:
     # a block has seven characters at least
     end = F.aggregate(F.sequence(F.lit(1), F.greatest(F.floor(size / 7).cast("int"), F.lit(0)) + 1), begin, step)
     return F.when(end["good"] & (F.size(end["types"]) > 0) & (end["at"] > size), F.struct(end["types"].alias("types"), end["texts"].alias("texts")))
+
+
+#: The elements of original-observation blocks, and what their tokens are made of.
+OBSERVATION_ELEMENTS = "ABCDEFGHIJKLMNOPQRSTUVWXY"
+_TOKEN = r"[!-+\x2D-~]"
+
+
+def original_observation(text: Column) -> Column:
+    """struct(elements, flags, data_values) of a QNN text; null where it isn't one throughout.
+
+    n elements, each with four flag characters, come before n values of six; white space may stand between
+    tokens. n follows from the length without white space, which is eleven characters an element.
+    """
+    trimmed = F.trim(text)
+    payload = trimmed.substr(F.lit(4), F.length(trimmed))
+    bare = F.regexp_replace(payload, r"\s", "")
+    n = F.floor(F.length(bare) / 11).cast("int")
+    count = n.cast("string")
+    shape = F.concat(F.lit(rf"^(\s*[{OBSERVATION_ELEMENTS}]\s*{_TOKEN}{{4}}){{"), count, F.lit(rf"}}(\s*{_TOKEN}{{6}}){{"), count, F.lit(r"}\s*$"))
+    whole = (F.upper(F.substring(trimmed, 1, 3)) == "QNN") & (n >= 1) & (F.length(bare) == n * 11)
+    places = F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)
+    cut = lambda first, step, width: F.transform(places, lambda i: bare.substr(first + i * step, F.lit(width)))
+    made = F.struct(cut(F.lit(1), 5, 1).alias("elements"), cut(F.lit(2), 5, 4).alias("flags"), cut(n * 5 + 1, 6, 6).alias("data_values"))
+    return F.when(whole, F.when(F.regexp_like(payload, shape), made))

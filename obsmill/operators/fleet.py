@@ -39,3 +39,18 @@ def presence(expected: DataFrame, found: DataFrame, key: str = "path") -> DataFr
     """Each path with missing, unexpected or present."""
     e, f = expected.select(key, F.lit(True).alias("e")), found.select(key, F.lit(True).alias("f"))
     return e.join(f, key, "full_outer").select(key, F.when(F.col("f").isNull(), "missing").when(F.col("e").isNull(), "unexpected").otherwise("present").alias("state"))
+
+
+def upsert(state: DataFrame, news: DataFrame, key: str, latest: str) -> DataFrame:
+    """One row a key: that of news where there is one, else that of state; of several the latest."""
+    both = state.withColumn("_new", F.lit(0)).unionByName(news.withColumn("_new", F.lit(1)))
+    fields = [c for c in state.columns if c != key]
+    best = both.groupBy(key).agg(F.max_by(F.struct(*fields), F.struct("_new", latest)).alias("_x"))
+    return best.select(key, "_x.*").select(*state.columns)
+
+
+def unresolved(manifest: DataFrame, artifact: str, upstream: str) -> DataFrame:
+    """(artifact, reference): references of a JSON list that no row of the manifest has as its id."""
+    refs = manifest.select(artifact, F.explode(F.from_json(upstream, "array<string>")).alias("reference"))
+    known = manifest.select(F.col(artifact).alias("reference")).distinct()
+    return refs.join(known, "reference", "left_anti").select(artifact, "reference")

@@ -63,3 +63,11 @@ def sizes(df: DataFrame, size: str) -> DataFrame:
         (F.sum(F.col(size) * F.col("_n")) / F.sum("_n")).alias("mean"), at(0.5).alias("median"), F.max_by(size, F.struct("_n", -F.col(size))).alias("mode"), F.min(size).alias("low"), F.max(size).alias("high"),
         at(0.25).alias("p25"), at(0.75).alias("p75"), F.sum(F.col(size) * F.col("_n")).alias("total"),
     )
+
+
+def domain_usability(df: DataFrame, domains: dict[str, list[str]], by: list[str]) -> DataFrame:
+    """(by, domain, n_rows, n_usable, usable_rate): a row is usable in a domain if any of its values is there."""
+    both = [F.struct(F.lit(name).alias("domain"), F.greatest(F.lit(False), *[F.col(c).isNotNull() for c in values]).alias("ok")) for name, values in domains.items()]
+    rows = df.select(*by, F.inline(F.array(*both)))
+    out = rows.groupBy(*by, "domain").agg(F.count("*").alias("n_rows"), F.count_if("ok").alias("n_usable"))
+    return out.withColumn("usable_rate", F.col("n_usable") / F.col("n_rows"))

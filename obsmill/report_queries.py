@@ -225,3 +225,63 @@ def union_by_name(spark, sf_dir):
 @query("U04_group_keys", W_LONG + " select distinct STATION, year from lng")
 def group_keys(spark, sf_dir):
     return obs_long(spark, sf_dir).select("STATION", "year").distinct()
+
+
+#: Original-observation texts from events, sound and broken.
+QNN = """select event_id as obs_id, case when event_id % 11 = 0 then null when event_id % 7 = 0 then 'QNNZ1234000123' when event_id % 5 = 0 then 'QNNA123400012' when event_id % 13 = 0 then 'QNNA12 3400 0123'
+  else 'qnn' || substr('A1234B0000C9Z9X', 1, cast(5 + 5 * (event_id % 3) as integer)) || case when event_id % 2 = 0 then ' ' else '' end || substr('000123-00456000789', 1, cast(6 + 6 * (event_id % 3) as integer)) end as QNN from {events}"""
+
+
+@query("V32_original_observations", f"with q as ({QNN.format(text='varchar', events='events')})" + r""", b as (select obs_id, QNN, regexp_replace(QNN[4:], '\s', '', 'g') as bare, length(regexp_replace(QNN[4:], '\s', '', 'g')) // 11 as n from q),
+ k as (select *, upper(QNN[1:3]) = 'QNN' and length(bare) = 11 * n and regexp_full_match(QNN[4:], '(\s*[A-Y]\s*[^\s,]{4}){' || n || '}(\s*[^\s,]{6}){' || n || '}\s*') as good from b)
+ select obs_id, case when good then array_to_string([bare[5 * i + 1 : 5 * i + 1] for i in range(n)], ',') end as elements, case when good then array_to_string([bare[5 * i + 2 : 5 * i + 5] for i in range(n)], ',') end as flags,
+ case when good then array_to_string([bare[5 * n + 6 * i + 1 : 5 * n + 6 * i + 6] for i in range(n)], ',') end as data_values from k""")
+def original_observations(spark, sf_dir):
+    df = spark.sql(QNN.format(text="string", events="{events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    x = df.select("obs_id", records.original_observation(F.col("QNN")).alias("x"))
+    return x.select("obs_id", *[F.array_join(f"x.{c}", ",").alias(c) for c in ("elements", "flags", "data_values")])
+
+
+@query("V36_contract_columns", W_OBS + " select obs_id, STATION as station_id, cast(year(DATE) as integer) as YEAR from obs")
+def contract_columns(spark, sf_dir):
+    return obs(spark, sf_dir).select("obs_id", F.col("STATION").alias("station_id"), F.year("DATE").alias("YEAR"))
+
+
+@query("J06_upsert", """with o as (select o_custkey as k, max(o_orderkey) as at from orders where o_orderkey % 2 = 0 group by o_custkey), n as (select o_custkey as k, max(o_orderkey) as at from orders where o_orderkey % 5 = 1 group by o_custkey)
+ select coalesce(n.k, o.k) as station_id, coalesce(n.at, o.at) as pulled_at, n.k is not null as renewed from o full join n on o.k = n.k""")
+def upserted(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("station_id"), F.col("o_orderkey").alias("pulled_at"))
+    old, new = o.where("pulled_at % 2 = 0").withColumn("renewed", F.lit(False)), o.where("pulled_at % 5 = 1").withColumn("renewed", F.lit(True))
+    return fleet.upsert(old, new, "station_id", "pulled_at")
+
+
+@query("J08_unused_stations", "select c_custkey as station_id from customer where c_custkey not in (select o_custkey from orders)")
+def unused_stations(spark, sf_dir):
+    used = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_custkey").alias("station_id"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("station_id")).join(used, "station_id", "left_anti")
+
+
+#: A manifest from parts: each row refers to two other rows, some of which are missing.
+LINEAGE = """select cast(p_partkey as {text}) as artifact_id, '["' || cast(p_partkey + 1 as {text}) || '","' || cast(p_partkey * 2 as {text}) || '"]' as upstream from {part} where p_partkey % 17 <> 0"""
+
+
+@query("J13_lineage", f"with m as ({LINEAGE.format(text='varchar', part='part')}), r as (select artifact_id, unnest(string_split(regexp_replace(upstream, '[^0-9,]', '', 'g'), ',')) as reference from m) select artifact_id, reference from r where reference not in (select artifact_id from m)")
+def lineage(spark, sf_dir):
+    m = spark.sql(LINEAGE.format(text="string", part="{part}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"))
+    return fleet.unresolved(m, "artifact_id", "upstream")
+
+
+@query("G21_domain_usability", W_TMP + """, x as (select STATION, 'temperature' as domain, temperature_c is not null as ok from tmp union all select STATION, 'wind', string_split(WND, ',')[1] <> '999' or string_split(WND, ',')[4] <> '9999' from tmp
+ union all select STATION, 'visibility', len(string_split(VIS, ',')) = 4 and string_split(VIS, ',')[1] <> '999999' from tmp) select STATION, domain, count(*) as n_rows, count(*) filter (ok) as n_usable, round(count(*) filter (ok) / count(*), 6) as usable_rate from x group by all""")
+def domain_rates(spark, sf_dir):
+    df = obs(spark, sf_dir)
+    for name in ("TMP", "WND", "VIS"):
+        df = d.decode(df, name)
+    df = df.select("STATION", "tmp_.temperature_c", "wnd_.wind_direction_deg", "wnd_.wind_speed_ms", "vis_.visibility_m")
+    domains = {"temperature": ["temperature_c"], "wind": ["wind_direction_deg", "wind_speed_ms"], "visibility": ["visibility_m"]}
+    return rounded(reports.domain_usability(df, domains, ["STATION"]), "usable_rate", to=6)
+
+
+@query("O01_publishing_order", W_OBS + " select STATION, DATE, obs_id from obs order by STATION, DATE, obs_id")
+def publishing_order(spark, sf_dir):
+    return obs(spark, sf_dir).select("STATION", "DATE", "obs_id").orderBy("STATION", "DATE", "obs_id")
