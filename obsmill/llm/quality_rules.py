@@ -3,8 +3,11 @@
 Everything is DataFrame expressions. ``measures`` counts words, symbols, repeated lines and repeated windows
 of a text without leaving its row. ``bounds`` sketches the rates of the documents that pass the base rule (KLL
 sketches by language and source, merged upwards to languages and to all) and reads upper bounds off them:
-the upper quartile plus ``spread`` times the distance of the quartiles, which is taken as ``least_gap`` at the
-least. ``apply_bounds`` joins the bounds and keeps what lies within all of them.
+``margin`` times an upper quantile of the group. Most rates are zero in most documents, so the quantile lies in the
+tail; that of symbols lies lower, below the share of documents that are symbols for a tenth or more (5 to 15 % of a
+group), as a quantile among these would let all of them pass. ``apply_bounds`` joins the bounds and keeps what lies
+within all of them, or passes one by no more than the least count that can occur (``ROUNDING``): a single symbol,
+repeated line or capital, or one repeated window.
 
 Defined results: null text has no words and fails the base rule, as has text of white space alone. Null lang
 and null source are groups of their own. A group with fewer than ``least`` documents that pass the base rule
@@ -26,8 +29,10 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS, WINDOW, REPEAT_PERCENT = 10, 5, 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-#: The measured rates and the smallest distance of the quartiles that counts.
-LEAST_GAP = {"symbol_rate": 0.01, "dup_line_rate": 0.1, "repeat_rate": 0.05, "upper_rate": 0.02}
+#: The measured rates with the quantile that bounds them, what they are made of, and the least count that can occur.
+TAIL = {"symbol_rate": 0.8, "dup_line_rate": 0.95, "repeat_rate": 0.95, "upper_rate": 0.95}
+PARTS = {"symbol_rate": ("n_symbols", "word_chars"), "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words"), "upper_rate": ("n_upper", "word_chars")}
+ROUNDING = {"symbol_rate": 1, "dup_line_rate": 1, "repeat_rate": 2 * WINDOW, "upper_rate": 1}
 BROADCAST_ROWS, SALTS = 100_000, 32
 
 
@@ -71,27 +76,26 @@ def base_failed() -> Column:
 
 def rates() -> dict[str, Column]:
     ratio = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    return {"symbol_rate": ratio("n_symbols", "word_chars"), "dup_line_rate": ratio("n_dup_lines", "n_lines"), "repeat_rate": ratio("n_repeat_words", "n_words"), "upper_rate": ratio("n_upper", "word_chars")}
+    return {x: ratio(*of) for x, of in PARTS.items()}
 
 
-def bounds(measured: DataFrame, lang: str = "lang", source: str = "source", spread: float = 4.0, least: int = 50, k: int = 400) -> DataFrame:
+def bounds(measured: DataFrame, lang: str = "lang", source: str = "source", margin: float = 2.0, least: int = 50, k: int = 400) -> DataFrame:
     """(lang, source, one upper bound a rate), a row for every group of measured."""
     rows = measured.select(F.col(lang).alias("lang"), F.col(source).alias("source"), base_failed().alias("failed"), *[c.alias(x) for x, c in rates().items()])
     good = lambda x: F.when(~F.col("failed"), F.col(x))
-    groups = rows.groupBy("lang", "source").agg(F.count(F.when(~F.col("failed"), 1)).alias("n"), *[F.kll_sketch_agg_double(good(x), k).alias(x) for x in LEAST_GAP])
+    groups = rows.groupBy("lang", "source").agg(F.count(F.when(~F.col("failed"), 1)).alias("n"), *[F.kll_sketch_agg_double(good(x), k).alias(x) for x in TAIL])
 
     def merged(*by: str) -> DataFrame:
-        return groups.where("n > 0").groupBy(*by).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(x, k).alias(x) for x in LEAST_GAP])
+        return groups.where("n > 0").groupBy(*by).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(x, k).alias(x) for x in TAIL])
 
     def upper(x: str, at_least: int = least) -> Column:
-        q = lambda p: F.kll_sketch_get_quantile_double(F.col(x), F.lit(p))
-        return F.when(F.col("n") >= at_least, q(0.75) + spread * F.greatest(q(0.75) - q(0.25), F.lit(LEAST_GAP[x]))).alias(x)
+        return F.when(F.col("n") >= at_least, margin * F.kll_sketch_get_quantile_double(F.col(x), F.lit(TAIL[x]))).alias(x)
 
-    one = groups.select("lang", "source", *[upper(x) for x in LEAST_GAP]).alias("g")
-    two = merged("lang").select("lang", *[upper(x) for x in LEAST_GAP]).alias("l")
-    all_ = merged().select(*[upper(x, 1) for x in LEAST_GAP]).alias("a")
+    one = groups.select("lang", "source", *[upper(x) for x in TAIL]).alias("g")
+    two = merged("lang").select("lang", *[upper(x) for x in TAIL]).alias("l")
+    all_ = merged().select(*[upper(x, 1) for x in TAIL]).alias("a")
     joined = one.join(two, F.col("g.lang").eqNullSafe(F.col("l.lang")), "left").join(F.broadcast(all_), F.lit(True), "left")
-    return joined.select("g.lang", "g.source", *[F.coalesce(f"g.{x}", f"l.{x}", f"a.{x}").alias(f"{x}_bound") for x in LEAST_GAP])
+    return joined.select("g.lang", "g.source", *[F.coalesce(f"g.{x}", f"l.{x}", f"a.{x}").alias(f"{x}_bound") for x in TAIL])
 
 
 def apply_bounds(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
@@ -102,8 +106,8 @@ def apply_bounds(measured: DataFrame, limits: DataFrame, lang: str = "lang", sou
     on = F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_of"))
     out = measured.withColumn("_salt", salt).join(F.broadcast(right) if few else right, on, "left")
     within = F.lit(True)
-    for x, rate in rates().items():
-        within = within & F.coalesce(rate <= F.col(f"{x}_bound"), F.lit(True))
+    for x, (n, of) in PARTS.items():
+        within = within & F.coalesce(F.col(n) <= F.col(f"{x}_bound") * F.col(of) + ROUNDING[x], F.lit(True))
     return out.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & within}).drop("_lang", "_source", "_of", "_salt")
 
 
