@@ -28,7 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     with contextlib.suppress(Exception):
         jvm = spark.sparkContext._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
@@ -50,7 +50,7 @@ class Scratch:
 
     def __exit__(self, *_) -> None:
         for path in self.paths:
-            _remove(self.spark, path)
+            remove(self.spark, path)
 
     def _write(self, df: DataFrame, name: str) -> tuple[str, DataFrame]:
         path = f"{self.root}/{name}"
@@ -62,9 +62,14 @@ class Scratch:
         self.paths.append(path)
         return back
 
+    def folder(self, name: str) -> str:
+        """A folder that the caller writes; it goes with the tables."""
+        self.paths.append(f"{self.root}/{name}")
+        return self.paths[-1]
+
     def result(self, df: DataFrame, name: str = "result") -> DataFrame:
         path, back = self._write(df, name)
-        atexit.register(_remove, self.spark, path)
+        atexit.register(remove, self.spark, path)
         return back
 
 

@@ -28,12 +28,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Law bytes. The old shards are the sources' hashes, which are as uneven as the sources."""
+    """Law bytes. The old shards are the sources' hashes, which are as uneven as the sources. Files are rewritten and read back."""
     docs = common.table(spark, sf_dir, "documents")
-    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select("doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce("source", F.lit("")).alias("source"))
-    old = F.pmod(F.xxhash64("source"), F.lit(16))
-    out = resharding.assign(rows, F.struct(common.id_text(), "text_crc32"), "size", old, 16, 16)
+    out = resharding.reshard(docs.select("doc_id", "text", "source"), F.pmod(F.xxhash64("source"), F.lit(16)), 16, 16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

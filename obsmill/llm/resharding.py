@@ -80,10 +80,13 @@ def block_moves(blocks: dict[int, list[tuple[int, int]]], flow: list[list[int]])
     return out
 
 
-def assign(rows: DataFrame, key: Column, size: str, old_shard: Column, old_shards: int, new_shards: int, blocks: int = 1024) -> DataFrame:
-    """rows with old_shard, block, shard (new) and slot, gapless from 0 within each new shard."""
-    scratch = common.Scratch(rows.sparkSession, "resharding")
-    held = scratch.result(rows.withColumns({"old_shard": old_shard.cast("int"), "block": F.pmod(F.xxhash64(F.lit(7), key), F.lit(blocks)).cast("int")}), "rows")
+def blocked(rows: DataFrame, key: Column, old_shard: Column, blocks: int = 1024) -> DataFrame:
+    """rows with old_shard and block."""
+    return rows.withColumns({"old_shard": old_shard.cast("int"), "block": F.pmod(F.xxhash64(F.lit(7), key), F.lit(blocks)).cast("int")})
+
+
+def places(held: DataFrame, size: str, old_shards: int, new_shards: int) -> DataFrame:
+    """(old_shard, block, shard, before): the new shard of each block of held, and the slot of its first row."""
     counted = held.groupBy("old_shard", "block").agg(F.sum(size).alias("bytes"), F.count("*").alias("n")).collect()
     by_old: dict[int, list[tuple[int, int]]] = {}
     for r in counted:
@@ -97,9 +100,19 @@ def assign(rows: DataFrame, key: Column, size: str, old_shard: Column, old_shard
         to = moves[r["old_shard"], r["block"]]
         taken.append((r["old_shard"], r["block"], to, first[to]))
         first[to] += r["n"]
-    places = rows.sparkSession.createDataFrame(taken, "old_shard int, block int, shard int, before long")
-    within = Window.partitionBy("old_shard", "block").orderBy(*[c for c in rows.columns])
-    return held.join(F.broadcast(places), ["old_shard", "block"]).withColumn("slot", F.col("before") + F.row_number().over(within) - 1).drop("before")
+    return held.sparkSession.createDataFrame(taken, "old_shard int, block int, shard int, before long")
+
+
+def slotted(placed: DataFrame, order: list[str]) -> DataFrame:
+    """placed (rows with before) with slot, gapless from 0 within each new shard."""
+    within = Window.partitionBy("old_shard", "block").orderBy(*order)
+    return placed.withColumn("slot", F.col("before") + F.row_number().over(within) - 1).drop("before")
+
+
+def assign(rows: DataFrame, key: Column, size: str, old_shard: Column, old_shards: int, new_shards: int, blocks: int = 1024) -> DataFrame:
+    """rows with old_shard, block, shard (new) and slot, gapless from 0 within each new shard."""
+    held = common.Scratch(rows.sparkSession, "resharding").result(blocked(rows, key, old_shard, blocks), "rows")
+    return slotted(held.join(F.broadcast(places(held, size, old_shards, new_shards)), ["old_shard", "block"]), rows.columns)
 
 
 def affected(assigned: DataFrame) -> DataFrame:
@@ -109,7 +122,41 @@ def affected(assigned: DataFrame) -> DataFrame:
 
 
 def rewrite(assigned: DataFrame, path: str) -> None:
-    """Write the affected shards under path, one folder a shard; the other shards' folders stay as they are."""
-    changed = assigned.join(F.broadcast(affected(assigned)), "shard", "left_semi")
-    parts = F.pmod(F.xxhash64("block"), F.lit(8))
-    changed.drop("old_shard", "block").withColumn("_part", parts).repartition("shard", "_part").drop("_part").write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    """Write the affected shards under path, one folder a shard, and remove the folders of those left without rows.
+
+    The other shards' folders stay as they are. assigned can be read from path: new folders replace the old when all are written.
+    """
+    spark = assigned.sparkSession
+    changed = [r["shard"] for r in affected(assigned).collect()]
+    if not changed:
+        return
+    filled = {r["shard"] for r in assigned.select("shard").distinct().collect()}
+    assigned.where(F.col("shard").isin(changed)).write.partitionBy("shard").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    for shard in sorted(set(changed) - filled):
+        common.remove(spark, f"{path}/shard={shard}")
+
+
+def reshard(docs: DataFrame, old_shard: Column, old_shards: int, new_shards: int) -> DataFrame:
+    """(doc_id, size, text_crc32, old_shard, shard, slot) of the documents as the shards' files hold them at the end.
+
+    The old layout is written with the texts, its affected shards are rewritten, and all is read again: size and
+    crc32 are of the texts read, shard is the folder. docs has doc_id, text and source.
+    """
+    spark = docs.sparkSession
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    size, crc = (F.octet_length(raw) + 1).cast("long"), F.crc32(raw)
+    key = F.struct(common.id_text(), "text_crc32")
+    source = F.coalesce("source", F.lit("")).alias("source")
+    with common.Scratch(spark, "resharding") as scratch:
+        path = scratch.folder("shards")
+        old = docs.select("doc_id", "text", source, size.alias("size"), crc.alias("text_crc32")).withColumn("old_shard", old_shard.cast("int"))
+        layout = f"{', '.join(f'{c} {t}' for c, t in old.dtypes)}, shard int"
+        old.withColumn("shard", F.col("old_shard")).write.partitionBy("shard").parquet(path)
+        held = blocked(spark.read.schema(layout).parquet(path).drop("old_shard"), key, F.col("shard")).drop("shard")
+        of = scratch.table(places(held, "size", old_shards, new_shards), "places")
+        rewrite(held.join(F.broadcast(of), ["old_shard", "block"]).select(*old.columns, "shard"), path)
+        back = spark.read.schema(layout).parquet(path).select("doc_id", size.alias("size"), crc.alias("text_crc32"), "source", "old_shard", "shard")
+        read = common.Scratch(spark, "resharding-rows").result(blocked(back, key, F.col("old_shard")))
+        of = common.Scratch(spark, "resharding-places").result(of)
+    first = F.broadcast(of.select("old_shard", "block", "before"))
+    return slotted(read.join(first, ["old_shard", "block"]), ["doc_id", "size", "text_crc32", "source"])
