@@ -13,16 +13,22 @@ from pyspark.sql import functions as F
 #: Characters that separate words: space and the ASCII controls tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of whole texts: Arrow batches for Python are kept to 1,000 rows where the session names no number."""
+    if spark.conf.get(BATCH_ROWS, None) in (None, "10000"):
+        spark.conf.set(BATCH_ROWS, "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one under the temporary folder where it is unset."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a temporary one if all runs on this machine, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = f"file://{tempfile.gettempdir()}/obsmill-checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -89,15 +95,19 @@ def fold(modulus: int, doc_id: str | Column = "doc_id") -> Column:
     return F.pmod(F.crc32(id_text(doc_id).cast("binary")), F.lit(modulus))
 
 
+def hash_below(most: int, n: int) -> int:
+    """The bound below which ``most`` of ``n`` hashes of 63 bits lie on average; exact integers at any count."""
+    return (1 << 63) - 1 if n <= most else (most << 63) // n
+
+
 def bounded_sample(df: DataFrame, by: str, most: int, seed: int = 17) -> DataFrame:
     """About ``most`` rows of each value of ``by`` at the most, chosen by a hash of doc_id.
 
-    The counts come from all rows; the rate of a value is min(1, most / count), so the expected size
-    is bounded by ``most`` times the number of values, whatever the input.
+    The counts come from all rows; a value's rows are those whose 63-bit hash is below ``most`` parts in its
+    count, so about ``most`` of them come (all, where there are no more), whatever the input. Rows of one
+    doc_id come or stay away together.
     """
     counts = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
-    if not counts:
-        return df
-    draw = F.pmod(F.xxhash64(F.lit(seed), id_text()), F.lit(1_000_000))
-    rate = F.coalesce(*[F.when(F.col(by) == F.lit(k), F.lit(int(1_000_000 * min(1.0, most / n)))) for k, n in counts.items() if k is not None], F.lit(0))
-    return df.where(draw < rate)
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_text()), 1)
+    bounds = [F.when(F.col(by) == F.lit(k), draw <= F.lit(hash_below(most, n))) for k, n in counts.items() if k is not None]
+    return df.where(F.coalesce(*bounds, F.lit(False)))

@@ -2,42 +2,57 @@
 
 The model predicts the bytes of the lower-cased words (A-Z), each after one space, and an end mark, from up to
 five bytes before. Training counts of six-byte windows, over all training documents, are summed by Spark and
-give those of all shorter windows. Each count is quantised to a level, 1 + floor(log2 count), and the filter holds
-the pairs of window and level for every level up to its own; a count is read back by probing one level after
-another until one is missing. Probabilities interpolate the orders, each ratio of two read counts, with the
-order below. The filter's blocks are made on the executors; its size is fixed by ``bits``. If the levels of
-all windows don't fit, the rarest windows are left out (the least count is chosen from the counts of all of
-them), which is the model's pruning, not a sample.
+give those of all shorter windows. Counts of one and two bytes are exact (65,536 pairs at the most). For longer
+ones the filter holds quantised numbers, each as a chain of entries that is probed until one is missing:
+
+* of a window, q: its count, rounded down to a power of two;
+* of a context (a window without its last byte), S: the sum of q over the bytes seen after it, rounded up to
+  four binary digits after the first; and T: how many different bytes follow it, rounded down to a power of two.
+
+Each order is smoothed with the one below: P = (q + T * below) / (S + T + the false q to be expected). As S is
+no less than the sum of q, the probabilities of all next bytes sum to one or less; what a false positive adds
+to q is what the last term takes away on average, and one in S or T can't raise the sum.
+
+All entries of a window and its context lie in one slice of the filter, which the two bytes before the last
+choose. Slices are packed into filters of ``filter_bytes`` or less by counts of their entries, and each filter
+is broadcast, probed by one pass over the texts and freed before the next. The model so grows with the corpus:
+no window is left out at any size, and what is broadcast at once is bounded. (A slice of its own that is larger
+than ``filter_bytes`` is a filter of that slice's size.)
 
 Word counts are exact (by 64-bit hash). The ``frequent`` most common tokens are broadcast, a bounded table; the
 others' counts are joined with the documents' remaining tokens.
 
-Defined results: null and empty text is the end token alone. Without training documents, N and V are 0 and
-every token's probability is 0.1 / 0.1, score 0. Repeated rows and ids are each scored; an empty table gives no
-rows. Other columns are not read.
+Defined results: null and empty text is the end token alone. Without training documents, N and V are 0, every
+token's probability is 0.1 / 0.1, base score 0, and every byte has probability 1 / 256. Repeated rows and ids
+are each scored, null ids included; an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmill.llm import common, textnum
 
 ORDER = 6
+EXACT = 2  # orders whose counts aren't in the filter
 END = 0x0A
 END_HASH = 1  # of the end token; no word is hashed to it but by chance of 2 ** -64
 TOKENS, WINDOWS = 0, 1
 BLOCK_BITS = 19
-PROBES = 4
-MEMO_BITS = 22  # slots for the probabilities of windows already met
+PROBES = 7
+BITS_PER_ENTRY = 14
+DIGITS = 4  # binary digits of S after the first
+MEMO_BITS = 20  # slots for the probabilities of windows already met
+#: Tags of entries: chains of q, S and T, and the digits of S.
+Q, S, T, DIGIT = 0, 64, 128, 192
 _MEMO: dict = {}
-KEEP = 0.8  # weight of an order against the one below
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens_and_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,130 +77,231 @@ def tokens_and_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.concatenate([hashes, np.full(len(clean), END_HASH, np.uint64)]), np.concatenate([owner[begin - ORDER + 1], np.arange(len(clean), dtype=np.int32)]), window, owner
 
 
-def counts(train: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, key, n): exact counts of token hashes and of six-byte windows over all rows of train."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(which, np.concatenate([c for _, c in parts])).astype(np.int64)
+
+
+def counts(train: DataFrame, text: str = "text", hold: int = 1 << 20) -> DataFrame:
+    """(kind, key, n): exact counts of token hashes and of six-byte windows over all rows of train.
+
+    A task sums what it meets and passes it on whenever it holds more than ``hold`` counts of a kind.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {TOKENS: [], WINDOWS: []}
+
+        def flush(kind: int, least: int) -> Iterator[pd.DataFrame]:
+            if sum(len(k) for k, _ in kept[kind]) > least:
+                kept[kind] = [_summed(kept[kind])]
+                if len(kept[kind][0][0]) > least // 2:
+                    keys, n = kept[kind].pop()
+                    for lo in range(0, len(keys), 1 << 17):
+                        yield pd.DataFrame({"kind": np.int32(kind), "key": keys[lo : lo + (1 << 17)].view(np.int64), "n": n[lo : lo + (1 << 17)]})
+
         for pdf in batches:
             raw = [textnum.encode(t) for t in pdf["text"]]
-            kept: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {TOKENS: [], WINDOWS: []}
             for lo, hi in textnum.blocks(raw):
                 tokens, _, windows, _ = tokens_and_bytes(raw[lo:hi])
                 for kind, keys in ((TOKENS, tokens), (WINDOWS, windows)):
                     kept[kind].append(np.unique(keys, return_counts=True))
-            for kind, found in kept.items():
-                if found:
-                    keys, which = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                    n = np.bincount(which, np.concatenate([c for _, c in found])).astype(np.int64)
-                    yield pd.DataFrame({"kind": np.int32(kind), "key": keys.view(np.int64), "n": n})
+                    yield from flush(kind, hold)
+        for kind in kept:
+            yield from flush(kind, 0)
 
     return train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
-class LogFrequencyFilter:
-    """Levels of windows, in blocks of 64 KB that are each made in one task."""
+def key_of(gram: np.ndarray, order: int) -> np.ndarray:
+    """The key of a window or context of ``order`` bytes; also of several."""
+    mask = np.uint64((1 << 8 * order) - 1)
+    return textnum.mix((gram & mask) + np.uint64(order << 56))
 
-    def __init__(self, blocks: np.ndarray, total: int, distinct: int = 256):
-        self.blocks, self.total, self.distinct = blocks, total, distinct
 
-    @staticmethod
-    def key(window: np.ndarray, order: int) -> np.ndarray:
-        mask = np.uint64((1 << 8 * order) - 1)
-        return textnum.mix((window & mask) + np.uint64(order << 56))
+class LogFrequencyFilter:
+    """Chains of entries in blocks of 64 KB, each made in one task."""
 
-    @staticmethod
-    def level(n: np.ndarray) -> np.ndarray:
-        return 1 + np.floor(np.log2(n)).astype(np.int64)
+    def __init__(self, blocks: np.ndarray, false_rate: float):
+        self.blocks, self.false_rate = blocks, false_rate
 
     @staticmethod
-    def places(key: np.ndarray, level: np.ndarray | int) -> list[np.ndarray]:
+    def places(key: np.ndarray, tag: np.ndarray | int) -> Iterator[np.ndarray]:
         """Bits within the key's block."""
-        h = textnum.mix(key + np.asarray(level, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = textnum.mix(key + np.asarray(tag, np.uint64) * _GOLDEN)
         step = (h >> np.uint64(32)) | np.uint64(1)
-        return [(h + np.uint64(i) * step) & np.uint64((1 << BLOCK_BITS) - 1) for i in range(PROBES)]
+        for _ in range(PROBES):
+            yield h & np.uint64((1 << BLOCK_BITS) - 1)
+            h = h + step
 
-    def block_of(self, key: np.ndarray) -> np.ndarray:
-        return (key >> np.uint64(40)) & np.uint64(len(self.blocks) - 1)
+    @staticmethod
+    def block_of(key: np.ndarray, n_blocks: int) -> np.ndarray:
+        return ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
+
+    def holds(self, key: np.ndarray, tag: int) -> np.ndarray:
+        base = self.block_of(key, len(self.blocks)) << np.uint64(BLOCK_BITS)
+        h = textnum.mix(key + np.array([tag], np.uint64) * _GOLDEN)
+        flat = self.blocks.reshape(-1)
+        step, live, mask = (h >> np.uint64(32)) | np.uint64(1), np.arange(len(key)), np.uint64((1 << BLOCK_BITS) - 1)
+        for _ in range(PROBES):
+            bit = base + (h & mask)
+            hit = (flat[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            live, base, step = live[hit], base[hit], step[hit]
+            h = h[hit] + step
+        out = np.zeros(len(key), bool)
+        out[live] = True
+        return out
 
-    def levels(self, window: np.ndarray, order: int) -> np.ndarray:
-        """Probe level after level; what is missing at one level is not probed at the next."""
-        key = self.key(window, order)
-        base = self.block_of(key) << np.uint64(BLOCK_BITS)
-        flat, out, live = self.blocks.reshape(-1), np.zeros(len(key), np.int64), np.arange(len(key))
+    def chain(self, key: np.ndarray, tag: int) -> np.ndarray:
+        """How many entries of a chain are held from its first on; the one after the first missing isn't probed."""
+        out, live = np.zeros(len(key), np.int64), np.arange(len(key))
         for level in range(1, 63):
-            hit = np.ones(len(live), bool)
-            for place in self.places(key[live], level):
-                bit = base[live] + place
-                hit &= (flat[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            live = live[hit]
+            live = live[self.holds(key[live], tag + level)]
             if not len(live):
                 break
             out[live] = level
         return out
 
-    def log_probability(self, window: np.ndarray) -> np.ndarray:
-        """log10 of the interpolated probability of a window's last byte after those before it."""
-        p = np.full(len(window), 1 / self.distinct)
-        below = np.full(len(window), float(max(1, self.total)))
-        for order in range(1, ORDER + 1):
-            levels = self.levels(window, order)
-            n = np.where(levels > 0, 1.5 * 2.0 ** (levels - 1), 0)
-            ratio = np.minimum(1, np.divide(n, below, out=np.zeros(len(n)), where=below > 0))
-            p = np.where(below > 0, KEEP * ratio + (1 - KEEP) * p, p)
-            if order < ORDER:
-                context = self.levels(window >> np.uint64(8), order)
-                below = np.where(context > 0, 1.5 * 2.0 ** (context - 1), 0)
-        return np.log10(p)
-
-
-def fit_filter(windows: DataFrame, scratch: common.Scratch, bits: int = 1 << 27, bits_per_entry: int = 8) -> LogFrequencyFilter:
-    """The filter for (key, n) rows of six-byte windows. bits bounds what is collected and broadcast: bits / 8 bytes."""
-    n_blocks = bits >> BLOCK_BITS
-    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")) for k in range(1, ORDER + 1)]))
-    grams = scratch.table(windows.select(orders.alias("x"), "n").groupBy("x.order", "x.gram").agg(F.sum("n").alias("n")), "grams")
-    level = (F.floor(F.log2("n")) + 1).cast("int")
-    sizes = {r["level"]: r["n"] for r in grams.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
-    least, room = 1, bits // bits_per_entry
-    while sum(k * n for k, n in sizes.items() if k >= least) > room:
-        least += 1
+
+class Model:
+    """A filter with the probabilities of two-byte windows, which come from exact counts."""
+
+    def __init__(self, lm: LogFrequencyFilter | None, pairs: np.ndarray, slices: np.ndarray, number: int):
+        """pairs: 256 x 256 counts of a byte after a byte; slices: the filter's number of each slice."""
+        self.lm, self.slices, self.number = lm, slices, number
+        single, seen = pairs.sum(axis=0), pairs > 0
+        one = (single + (single > 0).sum() / 256) / max(1, single.sum() + (single > 0).sum()) if single.sum() else np.full(256, 1 / 256)
+        follow = seen.sum(axis=1, keepdims=True)
+        self.two = np.where(follow > 0, (pairs + follow * one) / np.maximum(1, pairs.sum(axis=1, keepdims=True) + follow), one)
+        self.seen, self.follow = seen, follow[:, 0].astype(float)
+
+    def mine(self, window: np.ndarray) -> np.ndarray:
+        return self.slices[((window >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)] == self.number
+
+    def probability(self, window: np.ndarray) -> np.ndarray:
+        """The probability of a window's last byte after those before it; all are of this model's filter."""
+        last, before = (window & np.uint64(0xFF)).astype(np.int64), ((window >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)
+        p = self.two[before, last]
+        if self.lm is None:
+            return p
+        live = np.arange(len(window))  # windows whose context of this order was met
+        seen, below = self.seen[before, last], self.follow[before]
+        for order in range(EXACT + 1, ORDER + 1):
+            w = window[live]
+            context = key_of(w >> np.uint64(8), order - 1)
+            s = self.lm.chain(context, S)
+            met = s > 0
+            live, w, context, s, seen, below = live[met], w[met], context[met], s[met], seen[met], below[met]
+            if not len(live):
+                break
+            total = 2.0 ** (s - 1)
+            for digit in range(DIGITS):
+                total += np.where((s > 1) & self.lm.holds(context, DIGIT + digit), 2.0 ** (s - 2 - digit), 0)
+            follow = 2.0 ** self.lm.chain(context, T)
+            q = np.zeros(len(live))
+            levels = self.lm.chain(key_of(w[seen], order), Q)
+            q[seen] = np.where(levels > 0, 2.0 ** (levels - 1), 0)
+            q = np.where(q <= total, q, 0)
+            seen = q > 0
+            p[live] = (q + follow * p[live]) / (total + follow + self.lm.false_rate * below)
+            below = follow
+        return p
+
+
+def entries(windows: DataFrame, scratch: common.Scratch) -> tuple[DataFrame, np.ndarray]:
+    """(slice, key_order, gram, tag, upto) rows of chains and digits of all windows, and the counts of pairs of bytes."""
+    pair = F.col("key").bitwiseAND(F.lit(0xFFFF))
+    pairs = np.zeros((256, 256))
+    for r in windows.groupBy(pair.cast("int").alias("pair")).agg(F.sum("n").alias("n")).collect():
+        pairs[r["pair"] >> 8, r["pair"] & 255] = r["n"]
+    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")) for k in range(EXACT + 1, ORDER + 1)]))
+    level = (F.floor(F.log2(F.sum("n").cast("double"))) + 1).cast("int")
+    grams = scratch.table(windows.select(orders.alias("x"), "n").groupBy("x.order", "x.gram").agg(level.alias("q")), "grams")
+    of_slice = lambda shift: F.shiftright("gram", shift).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    q = grams.select(of_slice(8).alias("slice"), F.col("order").alias("key_order"), "gram", F.lit(Q).alias("tag"), F.col("q").alias("upto"))
+    context = grams.groupBy((F.col("order") - 1).alias("key_order"), F.shiftright("gram", 8).alias("gram")).agg(F.sum(F.pow(F.lit(2.0), F.col("q") - 1)).alias("s"), F.count("*").alias("t"))
+    # S as first digit and parts of it above, rounded up; what rounds to the whole is the next first digit.
+    context = context.withColumn("lead", F.floor(F.log2("s")).cast("int"))
+    context = context.withColumn("parts", F.when(F.col("lead") > 0, F.ceil((F.col("s") / F.pow(F.lit(2.0), "lead") - 1) * (1 << DIGITS)).cast("int")).otherwise(F.lit(0)))
+    context = context.withColumns({"lead": F.when(F.col("parts") == 1 << DIGITS, F.col("lead") + 1).otherwise(F.col("lead")), "parts": F.col("parts") % (1 << DIGITS)})
+    digit = lambda i: F.struct(F.lit(DIGIT + i - 1).alias("tag"), F.when(F.col("parts").bitwiseAND(F.lit(1 << (DIGITS - 1 - i))) != 0, 1).otherwise(0).alias("upto"))
+    chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), F.struct(F.lit(T).alias("tag"), F.floor(F.log2("t")).cast("int").alias("upto")), *map(digit, range(DIGITS)))
+    of_context = context.select(of_slice(0).alias("slice"), "key_order", "gram", F.explode(chains).alias("x")).select("slice", "key_order", "gram", "x.*").where("upto > 0")
+    return scratch.table(q.unionAll(of_context), "entries"), pairs
+
+
+def _keys(gram: np.ndarray, order: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(gram), np.uint64)
+    for k in range(EXACT, ORDER + 1):
+        at = order == k
+        key[at] = key_of(gram[at], k)
+    return key
+
+
+def make_filter(held: DataFrame, n_entries: int, bits_per_entry: int = BITS_PER_ENTRY) -> LogFrequencyFilter:
+    """The filter of entries, whose blocks are made on the executors."""
+    n_blocks = max(1, -(-n_entries * bits_per_entry >> BLOCK_BITS))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[int, np.ndarray] = {}
         for pdf in batches:
-            gram, order = pdf["gram"].to_numpy(np.int64).view(np.uint64), pdf["order"].to_numpy()
-            key = np.zeros(len(gram), np.uint64)
-            for k in range(1, ORDER + 1):
-                key[order == k] = LogFrequencyFilter.key(gram[order == k], k)
-            block = pdf["block"].to_numpy()
-            levels = LogFrequencyFilter.level(pdf["n"].to_numpy())
-            for lv in range(1, int(levels.max(initial=0)) + 1):
-                live = levels >= lv
-                for place in LogFrequencyFilter.places(key[live], lv):
-                    for b in np.unique(block[live]):
-                        at = place[block[live] == b]
-                        target = made.setdefault(int(b), np.zeros(1 << BLOCK_BITS - 3, np.uint8))
+            key = _keys(pdf["gram"].to_numpy(np.int64).view(np.uint64), pdf["key_order"].to_numpy())
+            tag, upto, block = pdf["tag"].to_numpy(np.int64), pdf["upto"].to_numpy(np.int64), pdf["block"].to_numpy(np.int64)
+            for lv in range(1, int(upto.max(initial=0)) + 1):
+                live = upto >= lv
+                order = np.argsort(block[live], kind="stable")
+                of = block[live][order]
+                cut = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+                for place in LogFrequencyFilter.places(key[live][order], (tag[live] + lv)[order]):
+                    for a, b in zip(cut[:-1], cut[1:], strict=True):
+                        target = made.setdefault(int(of[a]), np.zeros(1 << BLOCK_BITS - 3, np.uint8))
+                        at = place[a:b]
                         np.bitwise_or.at(target, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
         for b, array in made.items():
             yield pd.DataFrame({"block": [b], "data": [array.tobytes()]})
 
     @F.pandas_udf("int")
     def block(gram: pd.Series, order: pd.Series) -> pd.Series:
-        key = np.zeros(len(gram), np.uint64)
-        for k in np.unique(order):
-            at = (order == k).to_numpy()
-            key[at] = LogFrequencyFilter.key(gram.to_numpy(np.int64)[at].view(np.uint64), int(k))
-        return pd.Series(((key >> np.uint64(40)) & np.uint64(n_blocks - 1)).astype(np.int32))
+        return pd.Series(LogFrequencyFilter.block_of(_keys(gram.to_numpy(np.int64).view(np.uint64), order.to_numpy()), n_blocks).astype(np.int32))
 
-    held = grams.where(level >= least).withColumn("block", block("gram", "order")).repartition("block")
     blocks = np.zeros((n_blocks, 1 << BLOCK_BITS - 3), np.uint8)
-    got = held.mapInPandas(make, "block int, data binary").toPandas()
+    got = held.withColumn("block", block("gram", "key_order")).repartition("block").mapInPandas(make, "block int, data binary").toPandas()
     for b, data in zip(got["block"], got["data"], strict=True):
         blocks[b] |= np.frombuffer(data, np.uint8)
-    total = windows.agg(F.sum("n")).first()[0] or 0
-    return LogFrequencyFilter(blocks, total)
-
-
-def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1 << 18) -> DataFrame:
+    fill = float(np.unpackbits(blocks[:64].reshape(-1)).mean())
+    return LogFrequencyFilter(blocks, fill**PROBES)
+
+
+def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The filter of each slice, and each filter's (first slice, last slice, entries), from (slice, entries)."""
+    of, filters = np.zeros(1 << 16, np.int64), []
+    for number, n in sorted(sizes):
+        if filters and filters[-1][2] + n <= room:
+            filters[-1] = (filters[-1][0], number, filters[-1][2] + n)
+        else:
+            filters.append((number, number, n))
+        of[number] = len(filters) - 1
+    return of, filters
+
+
+def log_probabilities(model: Model, window: np.ndarray) -> np.ndarray:
+    """log10 of the windows' probabilities, 0 for those of other filters; a worker keeps those that it met."""
+    if _MEMO.get("model") is not model:
+        _MEMO.update(model=model, keys=np.full(1 << MEMO_BITS, -1, np.int64), values=np.zeros(1 << MEMO_BITS, np.float32))
+    memo_key, memo = _MEMO["keys"], _MEMO["values"]
+    slot = ((window * _GOLDEN) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
+    miss = np.flatnonzero(memo_key[slot] != window.view(np.int64))
+    fresh, back = np.unique(window[miss], return_inverse=True)
+    found, mine = np.zeros(len(fresh), np.float32), model.mine(fresh)
+    found[mine] = np.log10(model.probability(fresh[mine]))  # as it is kept, so that hits and misses agree
+    value = memo[slot].astype(np.float64)
+    value[miss] = found[back]
+    where = ((fresh * _GOLDEN) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
+    where, first = np.unique(where, return_index=True)  # windows that share a slot: one of them stays
+    memo_key[where], memo[where] = fresh[first].view(np.int64), found[first]
+    return value
+
+
+def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1 << 18, filter_bytes: int = 1 << 28) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
@@ -193,7 +309,6 @@ def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1
         tokens = counted.where(F.col("kind") == TOKENS).select("key", "n")
         whole = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
         total, distinct = whole["n"], whole["v"]
-        lm = fit_filter(counted.where(F.col("kind") == WINDOWS).select("key", "n"), scratch)
         least, room = None, frequent
         for r in tokens.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(frequent).collect():
             room -= r["tokens"]
@@ -201,14 +316,11 @@ def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1
                 break
             least = r["n"]
         common_ = (tokens.where(F.col("n") >= least) if least else tokens.limit(0)).toPandas().sort_values("key", ignore_index=True)
-        held = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), common_["n"].to_numpy(np.int64), lm))
-
-        def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            keys, n, model = held.value
-            row = TaskContext.get().partitionId() << 36
-            if _MEMO.get("model") is not model:  # one a worker and model, kept from task to task
-                _MEMO.update(model=model, keys=np.full(1 << MEMO_BITS, -1, np.int64), values=np.zeros(1 << MEMO_BITS, np.float32))
-            memo_key, memo = _MEMO["keys"], _MEMO["values"]
+        words = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), common_["n"].to_numpy(np.int64)))
+
+        def base(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Of each row what the frequent tokens give, the rare ones' keys, and its windows' scores by the first filter."""
+            keys, n = words.value
             for pdf in batches:
                 raw = [textnum.encode(t) for t in pdf["text"]]
                 for lo, hi in textnum.blocks(raw):
@@ -217,37 +329,53 @@ def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1
                     signed = hashes.view(np.int64)
                     at = np.minimum(np.searchsorted(keys, signed), max(0, len(keys) - 1))
                     hit = keys[at] == signed if len(keys) else np.zeros(len(signed), bool)
-                    base = np.bincount(owner[hit], np.log10(n[at[hit]] + 0.1), size)
-                    slot = ((window * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-                    w = window.view(np.int64)
-                    miss = np.flatnonzero(memo_key[slot] != w)
-                    fresh, back = np.unique(window[miss], return_inverse=True)
-                    found = model.log_probability(fresh).astype(np.float32)  # as it is kept, so that hits and misses agree
-                    value = memo[slot].astype(np.float64)
-                    value[miss] = found[back]
-                    where = ((fresh * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-                    where, first = np.unique(where, return_index=True)  # windows that share a slot: one of them stays
-                    memo_key[where], memo[where] = fresh[first].view(np.int64), found[first]
                     rare = np.flatnonzero(~hit)
                     rare = rare[np.argsort(owner[rare], kind="stable")]
                     cut = np.searchsorted(owner[rare], np.arange(size + 1))
                     yield pd.DataFrame({
-                        "row": row + np.arange(size),
+                        "row": pdf["row"].iloc[lo:hi].to_numpy(),
                         "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy(),
                         "n_tokens": np.bincount(owner, minlength=size),
                         "n_hit": np.bincount(owner[hit], minlength=size),
-                        "base": base,
-                        "score": np.bincount(of, value, size),
+                        "base": np.bincount(owner[hit], np.log10(n[at[hit]] + 0.1), size),
+                        "score": np.bincount(of, log_probabilities(held.value, window), size),
                         "rare": [signed[rare[cut[i] : cut[i + 1]]] for i in range(size)],
                     })
-                    row += size
 
-        measured = scratch.table(docs.select("doc_id", F.col(text).alias("text")).mapInPandas(measure, "row long, doc_id long, n_tokens long, n_hit long, base double, score double, rare array<long>"), "measured")
+        def more(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                raw = [textnum.encode(t) for t in pdf["text"]]
+                for lo, hi in textnum.blocks(raw):
+                    _, _, window, of = tokens_and_bytes(raw[lo:hi])
+                    yield pd.DataFrame({"row": pdf["row"].iloc[lo:hi].to_numpy(), "score": np.bincount(of, log_probabilities(held.value, window), hi - lo)})
+
+        held_entries, pairs = entries(counted.where(F.col("kind") == WINDOWS).select("key", "n"), scratch)
+        n_entries = F.sum(F.when(F.col("tag") >= DIGIT, 1).otherwise(F.col("upto")))
+        slices, filters = packed([tuple(r) for r in held_entries.groupBy("slice").agg(n_entries.alias("n")).collect()], filter_bytes * 8 // BITS_PER_ENTRY)
+        # ids pass as text, since null ones would make doubles of them
+        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"))
+        if len(filters) > 1:  # row numbers stay the same from pass to pass
+            rows = scratch.table(rows, "rows")
+        further = []
+        for number in range(max(1, len(filters))):
+            lm = None
+            if filters:
+                low, high, n = filters[number]
+                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n)
+            held = spark.sparkContext.broadcast(Model(lm, pairs, slices, number))
+            if number == 0:
+                measured = scratch.table(rows.mapInPandas(base, "row long, doc_id string, n_tokens long, n_hit long, base double, score double, rare array<long>"), "measured")
+            else:
+                further.append(scratch.table(rows.select("row", "text").mapInPandas(more, "row long, score double"), f"scores{number}"))
+            held.destroy()
+        words.destroy()
         rest = measured.select("row", F.explode("rare").alias("key")).join(tokens, "key", "left")
         parts = rest.groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))).alias("sum"))
         norm = float(np.log10(total + 0.1 * (distinct + 1)))
-        out = measured.drop("rare").join(parts, "row", "left").select(
-            "doc_id", "n_tokens", (F.col("n_hit") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+        out = measured.drop("rare").join(parts, "row", "left")
+        if further:
+            out = out.join(reduce(DataFrame.unionAll, further).groupBy("row").agg(F.sum("score").alias("rest")), "row").withColumn("score", F.col("score") + F.col("rest"))
+        out = out.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", (F.col("n_hit") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), "score")
         return common.Scratch(spark, "lm-scores").result(out)
-

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
