@@ -48,7 +48,7 @@ BLOCK_BITS = 19
 PROBES = 7
 BITS_PER_ENTRY = 14
 DIGITS = 4  # binary digits of S after the first
-MEMO_BITS = 20  # slots for the probabilities of windows already met
+MEMO_BITS = 23  # slots for the probabilities of windows already met
 #: Tags of entries: chains of q, S and T, and the digits of S.
 Q, S, T, DIGIT = 0, 64, 128, 192
 _MEMO: dict = {}
@@ -177,6 +177,16 @@ class Model:
     def mine(self, window: np.ndarray) -> np.ndarray:
         return self.slices[((window >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)] == self.number
 
+    def of_contexts(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """S and T of contexts; 0 and 1 for those not met."""
+        s = self.lm.chain(key, S)
+        total, live = np.where(s > 0, 2.0 ** (s - 1), 0), np.flatnonzero(s > 1)
+        for digit in range(DIGITS):
+            total[live] += np.where(self.lm.holds(key[live], DIGIT + digit), 2.0 ** (s[live] - 2 - digit), 0)
+        follow = np.ones(len(key))
+        follow[live] = 2.0 ** self.lm.chain(key[live], T)
+        return total, follow
+
     def probability(self, window: np.ndarray) -> np.ndarray:
         """The probability of a window's last byte after those before it; all are of this model's filter."""
         last, before = (window & np.uint64(0xFF)).astype(np.int64), ((window >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)
@@ -187,16 +197,13 @@ class Model:
         seen, below = self.seen[before, last], self.follow[before]
         for order in range(EXACT + 1, ORDER + 1):
             w = window[live]
-            context = key_of(w >> np.uint64(8), order - 1)
-            s = self.lm.chain(context, S)
-            met = s > 0
-            live, w, context, s, seen, below = live[met], w[met], context[met], s[met], seen[met], below[met]
+            context = (w >> np.uint64(8)) & np.uint64((1 << 8 * (order - 1)) - 1)
+            head = np.r_[True, context[1:] != context[:-1]]  # neighbours of one context share its probes
+            total, follow = (x[np.cumsum(head) - 1] for x in self.of_contexts(key_of(context[head], order - 1)))
+            met = total > 0
+            live, w, total, follow, seen, below = live[met], w[met], total[met], follow[met], seen[met], below[met]
             if not len(live):
                 break
-            total = 2.0 ** (s - 1)
-            for digit in range(DIGITS):
-                total += np.where((s > 1) & self.lm.holds(context, DIGIT + digit), 2.0 ** (s - 2 - digit), 0)
-            follow = 2.0 ** self.lm.chain(context, T)
             q = np.zeros(len(live))
             levels = self.lm.chain(key_of(w[seen], order), Q)
             q[seen] = np.where(levels > 0, 2.0 ** (levels - 1), 0)
@@ -283,6 +290,17 @@ def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tu
     return of, filters
 
 
+def _context_first(window: np.ndarray) -> np.ndarray:
+    """Windows as numbers that sort by their contexts, from the byte before the last on."""
+    back = window.byteswap() >> np.uint64(64 - 8 * ORDER)
+    return ((back << np.uint64(8)) & np.uint64((1 << 8 * ORDER) - 1)) | (window & np.uint64(0xFF))
+
+
+def _context_last(number: np.ndarray) -> np.ndarray:
+    back = (number >> np.uint64(8)) | ((number & np.uint64(0xFF)) << np.uint64(8 * ORDER - 8))
+    return (back << np.uint64(64 - 8 * ORDER)).byteswap()
+
+
 def log_probabilities(model: Model, window: np.ndarray) -> np.ndarray:
     """log10 of the windows' probabilities, 0 for those of other filters; a worker keeps those that it met."""
     if _MEMO.get("model") is not model:
@@ -290,7 +308,8 @@ def log_probabilities(model: Model, window: np.ndarray) -> np.ndarray:
     memo_key, memo = _MEMO["keys"], _MEMO["values"]
     slot = ((window * _GOLDEN) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
     miss = np.flatnonzero(memo_key[slot] != window.view(np.int64))
-    fresh, back = np.unique(window[miss], return_inverse=True)
+    fresh, back = np.unique(_context_first(window[miss]), return_inverse=True)
+    fresh = _context_last(fresh)
     found, mine = np.zeros(len(fresh), np.float32), model.mine(fresh)
     found[mine] = np.log10(model.probability(fresh[mine]))  # as it is kept, so that hits and misses agree
     value = memo[slot].astype(np.float64)
