@@ -30,7 +30,7 @@ from obsmill.llm import common
 
 #: The characters of the White_Space property.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-CACHED, PIECES, FITS = 450_000, 450_000, 250_000
+FITS = 250_000
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 #: A space beside other white space; without one, every space begins a chunk.
 BESIDE = re.compile(f" [{WHITE_SPACE}]|[{WHITE_SPACE}] ")
@@ -110,14 +110,16 @@ class Vocabulary:
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.v, self.source = vocabulary, pattern
+    """Keeps the tokens of up to ``kept`` chunks and as many pre-tokens a worker (about 250 bytes each)."""
+
+    def __init__(self, vocabulary: Vocabulary, pattern: str, kept: int = 450_000):
+        self.v, self.source, self.most = vocabulary, pattern, kept
         self.cache: dict[str, tuple[int, ...]] = {}
         self.pieces: dict[str, tuple[int, ...]] = {}
         self.fits: dict[int, bool] = {}
 
     def __getstate__(self) -> dict:
-        return {"v": self.v, "source": self.source, "cache": {}, "pieces": {}, "fits": {}}
+        return {"v": self.v, "source": self.source, "most": self.most, "cache": {}, "pieces": {}, "fits": {}}
 
     @cached_property
     def pattern(self) -> re.Pattern:
@@ -200,7 +202,7 @@ class Encoder:
         pattern = self.pattern if ASTRAL.search(chunk) else self.plain
         pieces = pattern.findall(chunk)
         kept = self.pieces
-        if len(kept) > PIECES:
+        if len(kept) > self.most:
             kept.clear()
         for piece in pieces:
             if piece not in kept:
@@ -217,10 +219,10 @@ class Encoder:
         try:
             return list(chain.from_iterable([cache[c] for c in chunks]))
         except KeyError:
-            if len(cache) > CACHED:
+            if len(cache) > self.most:
                 cache.clear()
             new = set(chunks).difference(cache)
-            if len(new) > CACHED:
+            if len(new) > self.most:
                 return list(chain.from_iterable(map(self._chunk, chunks)))
             for c in new:
                 cache[c] = self._chunk(c)
@@ -230,8 +232,8 @@ class Encoder:
         return b"".join(map(self.v.bytes_of.__getitem__, ids))
 
 
-def encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(Vocabulary(load_ranks(path)), pattern)
+def encoder(path: str, pattern: str, kept: int = 450_000) -> Encoder:
+    return Encoder(Vocabulary(load_ranks(path)), pattern, kept)
 
 
 def digest_udf(spark: SparkSession, model: Encoder):

@@ -68,6 +68,11 @@ class Scratch:
         self.paths.append(path)
         return back
 
+    def drop(self, name: str) -> None:
+        """Remove a table that is no longer read."""
+        self.paths.remove(f"{self.root}/{name}")
+        remove(self.spark, f"{self.root}/{name}")
+
     def folder(self, name: str) -> str:
         """A folder that the caller writes; it goes with the tables."""
         self.paths.append(f"{self.root}/{name}")

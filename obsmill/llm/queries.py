@@ -15,10 +15,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (common.fold(4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_coverage").alias("coverage"))
 
 
-def tokenizer() -> bpe.Encoder:
+def tokenizer(kept: int = 450_000) -> bpe.Encoder:
     import public_tokenizers
 
-    return bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, kept)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
