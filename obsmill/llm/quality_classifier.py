@@ -69,7 +69,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs
     if len(labels) < 2:
         return Classifier(np.zeros(BUCKETS), 0.0 if not labels else (6.0 if 1 in labels else -6.0))
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / size, 1 / size, (BUCKETS, size)).astype(np.float32)
+    vectors = rng.uniform(-1 / size, 1 / size, (BUCKETS, size)).astype(np.float32).T.copy()  # by dimension, so that a step holds one number a bucket at a time
     out, bias = np.zeros((size, 2), np.float32), np.zeros(2, np.float32)
     steps, done = epochs * ((len(rows) + batch - 1) // batch), 0
     for _ in range(epochs):
@@ -78,24 +78,22 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs
             part = [rows[i] for i in order[lo : lo + batch] if len(rows[i][0])]
             if not part:
                 continue
-            ids = np.concatenate([r[0] for r in part]).astype(np.int64)
+            ids = np.concatenate([r[0] for r in part]).astype(np.int32)
             first = np.cumsum([0, *[len(r[0]) for r in part[:-1]]])
             share = np.concatenate([r[1] / r[1].sum() for r in part]).astype(np.float32)
-            mean = np.add.reduceat(vectors[ids] * share[:, None], first, axis=0)
+            mean = np.stack([np.add.reduceat(v[ids] * share, first) for v in vectors], axis=1)
             z = mean @ out + bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             p[np.arange(len(part)), [r[2] for r in part]] -= 1
-            step = np.float32(rate * (1 - done / steps))
-            back = p @ out.T
-            owner = np.repeat(np.arange(len(part)), [len(r[0]) for r in part])
-            by = np.argsort(ids, kind="stable")
-            heads = np.flatnonzero(np.r_[True, ids[by][1:] != ids[by][:-1]])
-            vectors[ids[by][heads]] -= step * np.add.reduceat(back[owner[by]] * share[by][:, None], heads, axis=0) * np.float32(8)
-            out -= step * (mean.T @ p) / len(part) * np.float32(8)
-            bias -= step * p.mean(axis=0)
+            step = np.float32(rate * (1 - done / steps) * 8)
+            owner = np.repeat(np.arange(len(part), dtype=np.int32), [len(r[0]) for r in part])
+            for v, back in zip(vectors, (p @ out.T).T, strict=True):
+                v -= step * np.bincount(ids, back[owner] * share, BUCKETS).astype(np.float32)
+            out -= step * (mean.T @ p) / len(part)
+            bias -= step / 8 * p.mean(axis=0)
             done += 1
-    logits = vectors @ out
+    logits = vectors.T @ out
     return Classifier((logits[:, 1] - logits[:, 0]).astype(np.float64), float(bias[1] - bias[0]))
 
 
