@@ -1,13 +1,23 @@
-"""Decoding of coded cells as column expressions: tokens, values, verdicts."""
+"""Decoding of coded cells as column expressions: tokens, values, verdicts.
+
+``decode`` works in stages, each a projection of its own whose columns the next one uses several times, so that
+the optimiser leaves them apart: token arrays, parsed numbers, one state a part, and values and verdicts from the
+states. A cell is so split once, however many parts and verdicts its family has.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmill.plans.rules import MANDATORY_QUALITY, QUALITY, Part, resolve
+from obsmill.plans.rules import CRN_FAMILIES, EQD_FLAGS, EQD_MONTHLY, FLAG_ONLY, QUALITY, TABLES, Part, Span, allowed_quality, implied_width, is_eqd, resolve
 
-MANDATORY = ("WND", "CIG", "VIS")
+#: States of a part. UNFIT: no value, without a verdict of its own; FLAGGED: kept though outside its domain.
+GOOD, MALFORMED, BAD, MISSING, BEYOND, UNFIT, FLAGGED = range(7)
+REASONS = {MALFORMED: "MALFORMED_TOKEN", BAD: "BAD_QUALITY_CODE", MISSING: "SENTINEL_MISSING", BEYOND: "OUT_OF_RANGE"}
+NUMBER = r"^\+?[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def raw_tokens(cell: Column) -> Column:
@@ -21,111 +31,188 @@ def token(cell: Column, n: int) -> Column:
 
 def number(text: Column) -> Column:
     """A token as a double: one leading plus is dropped; what isn't a plain decimal gives null."""
-    bare = F.regexp_replace(F.trim(text), r"^\+", "")
-    return F.when(bare.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), bare.try_cast("double"))
+    bare = F.trim(text)
+    return F.when(bare.rlike(NUMBER), F.when(bare.startswith("+"), F.substr(bare, F.lit(2))).otherwise(bare).try_cast("double"))
+
+
+def plain(text: Column) -> Column:
+    """A token without dots, plus signs and leading zeros, as sentinels are compared."""
+    return F.regexp_replace(F.translate(text, ".+", ""), r"^(-?)0+(?=.)", "$1")
 
 
 def is_sentinel(text: Column, sentinels: tuple[str, ...] | None) -> Column:
-    bare = F.regexp_replace(text, r"[.+]", "")
-    if sentinels is None:
-        return bare.rlike("^9{2,}$")
-    plain = F.regexp_replace(bare, r"^(-?)0+(?=.)", "$1")
-    return plain.isin(*sentinels)
-
-
-def outside(value: Column, part: Part) -> Column:
-    low = F.lit(False) if part.low is None else value < part.low
-    high = F.lit(False) if part.high is None else value > part.high
-    return F.coalesce(low | high, F.lit(False))
-
-
-def verdict(malformed: Column, bad_quality: Column, sentinel: Column, out_of_range: Column) -> Column:
-    """struct(pass, status, reason): malformed before bad quality before sentinel before range."""
-    reason = F.when(malformed, "MALFORMED_TOKEN").when(bad_quality, "BAD_QUALITY_CODE").when(sentinel, "SENTINEL_MISSING").when(out_of_range, "OUT_OF_RANGE")
-    status = F.when(reason.isNull(), "PASS").when(reason == "SENTINEL_MISSING", "MISSING").otherwise("INVALID")
-    return F.struct(reason.isNull().alias("pass"), status.alias("status"), reason.alias("reason"))
-
-
-def scaled(value: Column, part: Part) -> Column:
-    out = value * F.lit(part.scale) if part.scale != 1 else value
-    return out if part.cap is None else F.least(out, F.lit(part.cap))
-
-
-def two_part(cell: Column, part: Part, allowed: tuple[str, ...] = QUALITY, strict: bool = True) -> Column:
-    """struct(value, quality, qc) of a value and quality cell; null for cells without two tokens."""
-    first, quality = token(cell, 1), token(cell, part.quality or 2)
-    quality = F.when(quality != "", quality)
-    raw = F.try_element_at(raw_tokens(cell), F.lit(1))
-    value = number(first)
-    width = F.lit(False)
-    if strict and part.width:
-        width = (raw != F.trim(raw)) | (F.length(F.regexp_replace(first, r"^[+-]+", "")) != part.width)
-    sentinel = is_sentinel(first, part.sentinels) & ~width
-    unparsed = ~sentinel & value.isNull()
-    malformed = width | unparsed
-    bad = F.coalesce(~quality.isin(*allowed), F.lit(False)) & ~width
-    beyond = ~malformed & ~bad & ~sentinel & outside(value, part)
-    good = ~malformed & ~bad & ~sentinel & ~beyond
-    qc = verdict(malformed, bad, sentinel, beyond)
-    return F.when(F.size(raw_tokens(cell)) == 2, F.struct(F.when(good, scaled(value, part)).alias("value"), quality.alias("quality"), qc.alias("qc")))
-
-
-def numeric_part(cell: Column, parts: tuple[Part, ...], n: int, allowed: tuple[str, ...], special: Column | None = None, strict: bool = True) -> Column:
-    """struct(value, qc) of the n-th part. Where special holds the value is null without counting as malformed."""
-    part, text = parts[n - 1], token(cell, n)
-    raw = F.try_element_at(raw_tokens(cell), F.lit(n))
-    value = number(text)
-    quality = token(cell, part.quality) if part.quality else F.lit(None).cast("string")
-    bad = F.coalesce(~quality.isin(*allowed), F.lit(False)) if part.quality else F.lit(False)
-    sentinel = is_sentinel(text, part.sentinels)
+    return F.translate(text, ".+", "").rlike("^9{2,}$") if sentinels is None else plain(text).isin(*sentinels)
+
+
+def domain_faults(text: Column, part: Part) -> tuple[Column, Column]:
+    """Whether a trimmed token isn't one of the part's values, and whether it doesn't match its pattern."""
+    values, pattern = F.lit(False), F.lit(False)
+    if isinstance(part.values, Span):
+        bounds = text.try_cast("int").between(part.values.low, part.values.high)
+        values = ~(text.rlike(rf"^\d{{{part.values.width}}}$") & F.coalesce(bounds, F.lit(False)))
+    elif part.values:
+        values = ~F.upper(text).isin(*part.values)
+    if part.pattern:
+        pattern = ~text.rlike(f"^(?:{part.pattern})$")
+    return values, pattern
+
+
+def check_domain(text: Column, part: Part) -> Column:
+    """struct(value, domain_invalid, pattern_mismatch) of a token: the value is null where either test fails."""
+    bare = F.trim(text)
+    values, pattern = domain_faults(bare, part)
+    return F.struct(F.when(~values & ~pattern, bare).alias("value"), values.alias("domain_invalid"), pattern.alias("pattern_mismatch"))
+
+
+def parameter_code_ok(identifier: str, text: Column) -> Column:
+    """Whether a parameter of element-quality data is known: element and two flags for N, else a listed or, for R, a monthly code."""
+    if identifier[0] == "N":
+        return (F.length(text) == 6) & F.substring(text, 1, 4).isin(*TABLES["eqd_element"]) & F.substring(text, 5, 1).isin(*EQD_FLAGS[0]) & F.substring(text, 6, 1).isin(*EQD_FLAGS[1])
+    upper = F.upper(text)
+    return upper.isin(*TABLES["eqd_legacy"]) | (upper.rlike(f"^{EQD_MONTHLY}$") if identifier[0] == "R" else F.lit(False))
+
+
+def verdict(state: Column) -> Column:
+    """struct(pass, status, reason) of a state."""
+    reason = reduce(lambda c, x: c.when(state == x[0], x[1]), list(REASONS.items())[1:], F.when(state == MALFORMED, REASONS[MALFORMED]))
+    status = F.when(state == MISSING, "MISSING").when(state.isin(MALFORMED, BAD, BEYOND), "INVALID").otherwise("PASS")
+    return F.struct((~state.isin(*REASONS)).alias("pass"), status.alias("status"), reason.alias("reason"))
+
+
+def _wrong_width(part: Part, raw: Column, text: Column) -> Column:
     wrong = F.lit(False)
-    if strict and part.width:
-        wrong = (raw != F.trim(raw)) | (F.length(F.regexp_replace(text, r"^[+-]+", "")) != part.width)
-    special = F.lit(False) if special is None else F.coalesce(special, F.lit(False))
-    malformed = ~special & ~bad & ~sentinel & (wrong | value.isNull())
-    beyond = outside(value, part)
-    good = ~special & ~malformed & ~bad & ~sentinel & ~beyond
-    return F.struct(F.when(good, scaled(value, part)).alias("value"), verdict(malformed, bad, sentinel, beyond).alias("qc"))
-
-
-def categorical_part(cell: Column, part: Part, n: int) -> Column:
-    text = token(cell, n)
-    raw = F.try_element_at(raw_tokens(cell), F.lit(n))
-    good = ~is_sentinel(text, part.sentinels) if part.sentinels else F.lit(True)
-    if part.width:
-        good = good & (F.length(raw) == part.width)
-    if part.values:
-        good = good & F.upper(text).isin(*part.values)
-    return F.when(good & (text != ""), text)
-
-
-def decode(df: DataFrame, identifier: str, out: str | None = None, strict: bool = True) -> DataFrame:
-    """df with one struct column (the identifier in small letters and an underscore): a field for each named part, its verdict as <part>_qc, and quality codes as q<n>."""
-    parts = resolve(identifier)
-    if parts is None:
-        raise KeyError(f"{identifier} is not a coded column")
-    cell, out = F.col(identifier), out or f"{identifier.lower()}_"
-    if len(parts) == 1:
-        x = two_part(cell, parts[0], strict=strict)
-        return df.withColumn(out, F.struct(x["value"].alias(parts[0].name), x["quality"].alias("quality"), x["qc"].alias(f"{parts[0].name}_qc")))
-    allowed = MANDATORY_QUALITY if identifier in MANDATORY else QUALITY
-    whole = F.size(raw_tokens(cell)) == len(parts)
-    variable = (token(cell, 1) == "999") & (F.upper(token(cell, 3)) == "V")
-    calm = (token(cell, 3) == "9") & (token(cell, 4) == "0000")
-    od_calm = (token(cell, 3) == "999") & (token(cell, 4) == "0000")
-    fields = []
-    for n, part in enumerate(parts, 1):
-        if part.kind == "numeric":
-            special = variable if identifier == "WND" and n == 1 else od_calm if identifier.startswith("OD") and n == 3 else None
-            x = numeric_part(cell, parts, n, allowed, special, strict)
-            fields += [F.when(whole, x["value"]).alias(part.name), F.when(whole, x["qc"]).alias(f"{part.name}_qc")]
-        elif part.kind == "categorical":
-            fields.append(F.when(whole, categorical_part(cell, part, n)).alias(part.name))
-        else:
-            fields.append(F.when(whole & (token(cell, n) != ""), token(cell, n)).alias(f"q{n}"))
-    if identifier == "WND":
-        fields += [F.coalesce(F.when(whole, variable), F.lit(False)).alias("direction_variable"), F.coalesce(F.when(whole, calm), F.lit(False)).alias("calm")]
-    return df.withColumn(out, F.struct(*fields))
+    if part.width and part.kind == "numeric":
+        wrong = (raw != text) | (F.length(F.regexp_replace(text, r"^[+-]+", "")) != part.width)
+    elif part.width:
+        wrong = F.length(raw) != part.width
+    return wrong | ~text.rlike(f"^(?:{part.token})$") if part.token else wrong
+
+
+def _state(identifier: str, parts: tuple[Part, ...], n: int, raw: Column, text: Column, numbers: Column, plains: Column, strict: bool) -> Column:
+    """The state of the n-th part, from the arrays of its cell's tokens."""
+    part, at = parts[n - 1], n - 1
+    t, value = text[at], numbers[at]
+    lone = len(parts) == 1 and part.quality is not None  # a value and its quality code
+    q = F.when(text[part.quality - 1] != "", text[part.quality - 1]) if lone else text[part.quality - 1] if part.quality else None
+    bad = F.lit(False) if q is None else F.coalesce(~q.isin(*allowed_quality(parts, part)), F.lit(False))
+    common = {p.quality for p in parts if p.quality}
+    first_lost = F.lit(False)
+    if n == 1 and part.quality is None and len(common) == 1:
+        k = common.pop()
+        first_lost = (text[k - 1] != "") & ~text[k - 1].isin(*(parts[k - 1].allowed or QUALITY))
+    missing = F.translate(t, ".+", "").rlike("^9{2,}$") if part.sentinels is None else plains[at].isin(*part.sentinels) if part.sentinels else F.lit(False)
+    numeric = part.kind == "numeric"
+    unread = (t != "") & value.isNull() if numeric else F.lit(False)
+    values, pattern = domain_faults(t, part)
+    unfit = F.lit(False)
+    if part.kind == "quality" and part.allowed:
+        unfit = ~F.upper(t).isin(*part.allowed)
+    digits = implied_width(identifier, part) if not lone else None
+    if digits:
+        unfit = unfit | ~t.rlike(rf"^\d{{{digits}}}$")
+    beyond = F.lit(False)
+    if part.low is not None:
+        beyond = beyond | (value < part.low)
+    if part.high is not None:
+        beyond = beyond | (value > part.high)
+    beyond = F.coalesce(beyond, F.lit(False))
+    unfit_state = F.when(beyond, BEYOND).otherwise(UNFIT) if numeric else F.lit(UNFIT)
+    wrong = F.coalesce(_wrong_width(part, raw[at], t), F.lit(False)) if strict else F.lit(False)
+    if lone:
+        return F.when(wrong, MALFORMED).when(~missing & unread, MALFORMED).when(bad, BAD).when(missing, MISSING).when(values | pattern, UNFIT).when(beyond, BEYOND).otherwise(GOOD)
+    outside_state = F.when(unread, MALFORMED).otherwise(unfit_state)
+    if identifier[:2] in FLAG_ONLY:
+        outside_state = F.lit(FLAGGED)
+    state = F.when(bad, BAD).when(first_lost & ~missing, unfit_state).when(missing, MISSING).when(wrong, MALFORMED).when(unfit, unfit_state).when(values | pattern, outside_state)
+    if part.text:
+        return state.otherwise(GOOD)
+    if is_eqd(identifier) and n == 3:
+        state = state.when((t != "") & ~parameter_code_ok(identifier, t), UNFIT)
+    state = state.when(unread, MALFORMED)
+    if numeric and identifier[:2] in CRN_FAMILIES and q is not None:
+        state = state.when(q == "9", MISSING)
+    return state.when(beyond, BEYOND).otherwise(GOOD)
+
+
+def _names(part: Part, n: int) -> str:
+    return part.name or f"part{n}"
+
+
+def decode_all(df: DataFrame, identifiers: list[str], strict: bool = True) -> DataFrame:
+    """df with one struct column a family (its name in small letters and an underscore): a field for each named part, else
+    ``part<n>``; verdicts of numeric parts as <part>_qc; quality codes as q<n>, or quality where the family is one value and
+    its code. A cell whose tokens don't have the family's number gives null fields; AH keeps them and flags it.
+    """
+    rules = {}
+    for name in identifiers:
+        rules[name] = resolve(name)
+        if rules[name] is None:
+            raise KeyError(f"{name} is not a coded column")
+    names = list(dict.fromkeys(identifiers))
+    hold = {kind: {x: f"_{x}_{kind}" for x in names} for kind in ("raw", "text", "number", "plain", "state")}
+    df = df.withColumns({hold["raw"][x]: raw_tokens(F.col(x)) for x in names})
+    df = df.withColumns({hold["text"][x]: F.transform(hold["raw"][x], lambda t: F.trim(t)) for x in names})
+    made = {hold["number"][x]: F.transform(hold["text"][x], lambda t: number(t)) for x in names}
+    df = df.withColumns(made | {hold["plain"][x]: F.transform(hold["text"][x], lambda t: plain(t)) for x in names})
+    states, fields = {}, {}
+    for x in names:
+        parts, raw, text, numbers, plains = rules[x], *(F.col(hold[k][x]) for k in ("raw", "text", "number", "plain"))
+        pick = lambda array: lambda k: F.get(array, F.lit(k))
+        arrays = [_At(pick(a)) for a in (raw, text, numbers, plains)]
+        lone = len(parts) == 1 and parts[0].quality is not None
+        whole = F.size(raw) == (2 if lone else len(parts))
+        present = F.size(raw) > 0 if x[:2] == "AH" else whole
+        states[hold["state"][x]] = F.struct(present.alias("whole"), (~whole).alias("arity"), *[_state(x, parts, n, *arrays, strict).alias(f"s{n}") for n in range(1, len(parts) + 1)])
+        fields[x] = (parts, arrays, lone)
+    df = df.withColumns(states)
+    out = {}
+    for x in names:
+        (parts, (_, text, numbers, _), lone), state = fields[x], F.col(hold["state"][x])
+        made_fields = []
+        for n, part in enumerate(parts, 1):
+            s, t = state[f"s{n}"], text[n - 1]
+            kept = state["whole"] & s.isin(GOOD, FLAGGED)
+            if part.kind == "numeric":
+                value = numbers[n - 1] * F.lit(part.scale) if part.scale != 1 else numbers[n - 1]
+                made_fields.append(F.when(kept, value if part.cap is None else F.least(value, F.lit(part.cap))).alias(_names(part, n)))
+                if lone:
+                    q = text[part.quality - 1]
+                    made_fields.append(F.when(state["whole"] & (q != ""), q).alias("quality"))
+                made_fields.append(F.when(state["whole"], verdict(s)).alias(f"{_names(part, n)}_qc"))
+            elif part.kind == "categorical":
+                made_fields.append(F.when(kept & (t != ""), t).alias(_names(part, n)))
+            else:
+                made_fields.append(F.when(kept & (t != ""), t).alias(f"q{n}"))
+        true = lambda c: F.coalesce(c, F.lit(False))
+        if x == "WND":
+            made_fields += [true(state["whole"] & (text[0] == "999") & (F.upper(text[2]) == "V")).alias("direction_variable"), true(state["whole"] & (text[2] == "9") & (text[3] == "0000")).alias("calm")]
+        if x[:2] == "OD":
+            made_fields.append(true(state["whole"] & (text[2] == "999") & (text[3] == "0000")).alias("calm_direction"))
+        if x[:2] == "OE":
+            made_fields.append(true(state["whole"] & (text[2] == "00000") & (text[3] == "999")).alias("calm_speed"))
+        if x[:2] in FLAG_ONLY:
+            faults = [(state[f"s{n}"], *domain_faults(text[n - 1], p)) for n, p in enumerate(parts, 1)]
+            for k, flag in ((1, "domain_invalid"), (2, "pattern_mismatch")):
+                made_fields.append(true(state["whole"] & reduce(lambda a, b: a | b, [(f[0] == FLAGGED) & f[k] for f in faults])).alias(flag))
+        if x[:2] == "AH":
+            made_fields.append(true(state["arity"]).alias("arity_mismatch"))
+        out[f"{x.lower()}_"] = F.struct(*made_fields)
+    return df.withColumns(out).drop(*[c for kind in hold.values() for c in kind.values()])
+
+
+class _At:
+    """Tokens by place; beyond the last one, null."""
+
+    def __init__(self, pick):
+        self.pick = pick
+
+    def __getitem__(self, k: int) -> Column:
+        return self.pick(k)
+
+
+def decode(df: DataFrame, identifier: str, strict: bool = True) -> DataFrame:
+    """decode_all of one family."""
+    return decode_all(df, [identifier], strict)
 
 
 def usability(passes: list[Column]) -> list[Column]:

@@ -36,6 +36,12 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(OBS.format(text="string", events="{events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
+def with_tmp(df: DataFrame) -> DataFrame:
+    """df with x: value, quality and qc of TMP, and t, its value."""
+    x = F.struct(F.col("tmp_.temperature_c").alias("value"), F.col("tmp_.quality").alias("quality"), F.col("tmp_.temperature_c_qc").alias("qc"))
+    return d.decode(df, "TMP").withColumns({"x": x, "t": F.col("tmp_.temperature_c")})
+
+
 def obs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = spark.sql(LONG.format(text="string", orders="{orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
     df = df.withColumn("DATE", F.timestamp_add("HOUR", F.col("HOURS").cast("int"), F.col("ORDERED")))
@@ -89,9 +95,9 @@ def sentinels(spark, sf_dir):
     return obs(spark, sf_dir).select("obs_id", d.is_sentinel(d.token(F.col("TMP"), 1), ("9999",)).alias("tmp_missing"), d.is_sentinel(d.token(F.col("WND"), 1), None).alias("wnd_nines"))
 
 
-@query("V04_domain", W_OBS + " select obs_id, case when string_split(WND, ',')[3] in ('A','B','C','H','N','R','Q','T','V') then string_split(WND, ',')[3] end as wind_type_code from obs")
+@query("V04_domain", W_OBS + " select obs_id, case when string_split(WND, ',')[3] in ('A','B','C','H','N','R','Q','T','V') then string_split(WND, ',')[3] end as wind_type_code, string_split(WND, ',')[3] not in ('A','B','C','H','N','R','Q','T','V') as domain_invalid, false as pattern_mismatch from obs")
 def domains(spark, sf_dir):
-    return obs(spark, sf_dir).select("obs_id", d.categorical_part(F.col("WND"), resolve("WND")[2], 3).alias("wind_type_code"))
+    return obs(spark, sf_dir).select("obs_id", d.check_domain(d.token(F.col("WND"), 3), resolve("WND")[2]).alias("x")).select("obs_id", F.col("x.value").alias("wind_type_code"), "x.domain_invalid", "x.pattern_mismatch")
 
 
 @query("V06_quality_code", W_OBS + f" select obs_id, {Q1} as quality, {Q1} in ('0','1','2','3','4','5','6','7','9') as allowed from obs")
@@ -102,8 +108,7 @@ def quality_codes(spark, sf_dir):
 
 @query("V13_two_part", W_TMP + " select obs_id, round(temperature_c, 6) as temperature_c, q as quality, pass, status, reason from tmp")
 def two_part(spark, sf_dir):
-    x = d.two_part(F.col("TMP"), resolve("TMP")[0])
-    return obs(spark, sf_dir).select("obs_id", x.alias("x")).select("obs_id", F.round("x.value", 6).alias("temperature_c"), "x.quality", F.col("x.qc")["pass"].alias("pass"), "x.qc.status", "x.qc.reason")
+    return with_tmp(obs(spark, sf_dir)).select("obs_id", F.round("x.value", 6).alias("temperature_c"), "x.quality", F.col("x.qc")["pass"].alias("pass"), "x.qc.status", "x.qc.reason")
 
 
 W_WND = W_OBS + """, w0 as (select *, string_split(WND, ',') as p from obs), w1 as (select obs_id, STATION, DATE, p[1] = '999' as dsent, p[3] = 'V' and p[1] = '999' as variable, p[3] = '9' and p[4] = '0000' as calm,
@@ -133,9 +138,7 @@ W_USE = W_TMP + """, u as (select tmp.obs_id, tmp.STATION, tmp.DATE, cast(tmp.pa
 
 
 def usable(spark, sf_dir) -> DataFrame:
-    df = obs(spark, sf_dir)
-    for name in ("TMP", "WND", "VIS", "AA1"):
-        df = d.decode(df, name)
+    df = d.decode_all(obs(spark, sf_dir), ["TMP", "WND", "VIS", "AA1"])
     passes = [F.col(c)["pass"] for c in ("tmp_.temperature_c_qc", "wnd_.wind_direction_deg_qc", "wnd_.wind_speed_ms_qc", "vis_.visibility_m_qc", "aa1_.precip_period_hours_qc", "aa1_.precip_amount_qc")]
     return df.select("*", *d.usability(passes))
 
@@ -159,7 +162,7 @@ def suspects(spark, sf_dir):
 
 @query("V41_units", W_TMP + " select obs_id, round(temperature_c * 9 / 5 + 32, 9) as temperature_f from tmp")
 def units(spark, sf_dir):
-    df = obs(spark, sf_dir).select("obs_id", d.two_part(F.col("TMP"), resolve("TMP")[0])["value"].alias("temperature_c"))
+    df = with_tmp(obs(spark, sf_dir)).select("obs_id", F.col("t").alias("temperature_c"))
     return rounded(add_units(df).select("obs_id", "temperature_f"), "temperature_f")
 
 
@@ -239,7 +242,7 @@ def daily_strategy(spark, sf_dir):
 @query("G18_completeness", W_TMP + """ select STATION, 'temperature_c' as field, count(*) as n_rows, count(*) filter (temperature_c is null) as n_null, round(1 - count(*) filter (temperature_c is null) / count(*), 6) as completeness from tmp group by STATION
  union all select STATION, 'AA1', count(*), count(*) filter (AA1 is null), round(1 - count(*) filter (AA1 is null) / count(*), 6) from tmp group by STATION""")
 def completeness(spark, sf_dir):
-    df = obs(spark, sf_dir).withColumn("temperature_c", d.two_part(F.col("TMP"), resolve("TMP")[0])["value"].cast("string"))
+    df = with_tmp(obs(spark, sf_dir)).withColumn("temperature_c", F.col("t").cast("string"))
     return rounded(quality.completeness(df, ["temperature_c", "AA1"]), "completeness", to=6)
 
 
@@ -251,14 +254,13 @@ def sentinel_rates(spark, sf_dir):
 
 @query("G20_exclusions", W_TMP + " select STATION, count(*) filter (reason = 'BAD_QUALITY_CODE') as n_excluded from tmp group by STATION")
 def exclusions(spark, sf_dir):
-    x = d.two_part(F.col("TMP"), resolve("TMP")[0])["qc"]["reason"]
-    return obs(spark, sf_dir).groupBy("STATION").agg(F.count_if(x == "BAD_QUALITY_CODE").alias("n_excluded"))
+    return with_tmp(obs(spark, sf_dir)).groupBy("STATION").agg(F.count_if(F.col("x.qc.reason") == "BAD_QUALITY_CODE").alias("n_excluded"))
 
 
 @query("G23_distribution", W_TMP + """ select STATION, count(temperature_c) as n, round(min(temperature_c), 6) as low, round(max(temperature_c), 6) as high, round(avg(temperature_c), 9) as mean, round(quantile_cont(temperature_c, 0.05), 9) as p05, round(quantile_cont(temperature_c, 0.25), 9) as p25,
  round(quantile_cont(temperature_c, 0.5), 9) as median, round(quantile_cont(temperature_c, 0.75), 9) as p75, round(quantile_cont(temperature_c, 0.95), 9) as p95 from tmp group by STATION""")
 def distribution(spark, sf_dir):
-    df = obs(spark, sf_dir).withColumn("t", d.two_part(F.col("TMP"), resolve("TMP")[0])["value"])
+    df = with_tmp(obs(spark, sf_dir))
     return rounded(rounded(quality.distribution(df, "t", ["STATION"]), "mean", "p05", "p25", "median", "p75", "p95"), "low", "high", to=6)
 
 
@@ -271,7 +273,7 @@ def reasons(spark, sf_dir):
 @query("W01_missing_runs", W_TMP + """, s as (select STATION, DATE, temperature_c, count(temperature_c) over (partition by STATION order by DATE, obs_id) as run from tmp), r as (select STATION, run, count(*) as length, min(DATE) as b, max(DATE) as e from s where temperature_c is null group by all),
  k as (select *, row_number() over (partition by STATION order by length desc, run) as n from r) select STATION, length, b as begin, e as "end", round(date_diff('second', date_trunc('second', b), date_trunc('second', e)) / 3600.0, 9) as hours from k where n = 1""")
 def missing_runs(spark, sf_dir):
-    df = obs(spark, sf_dir).withColumn("t", d.two_part(F.col("TMP"), resolve("TMP")[0])["value"])
+    df = with_tmp(obs(spark, sf_dir))
     return rounded(quality.longest_missing_run(df, "t"), "hours")
 
 
@@ -354,8 +356,7 @@ def progress(spark, sf_dir):
 
 @query("O02_top_records", W_TMP + " select STATION, n from (select STATION, count(*) filter (not pass) as n from tmp group by STATION) order by n desc, STATION limit 10")
 def top_records(spark, sf_dir):
-    x = d.two_part(F.col("TMP"), resolve("TMP")[0])["qc"]["pass"]
-    return obs(spark, sf_dir).groupBy("STATION").agg(F.count_if(~F.coalesce(x, F.lit(False))).alias("n")).orderBy(F.desc("n"), "STATION").limit(10)
+    return with_tmp(obs(spark, sf_dir)).groupBy("STATION").agg(F.count_if(~F.coalesce(F.col("x.qc.pass"), F.lit(False))).alias("n")).orderBy(F.desc("n"), "STATION").limit(10)
 
 
 @query("W04_diverse_sample", W_OBS + ", r as (select obs_id, STATION, row_number() over (partition by STATION order by obs_id) as n from obs) select obs_id, STATION, n from r order by n, STATION limit 50")

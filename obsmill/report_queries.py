@@ -8,7 +8,7 @@ from obsmill.functions import decode as d
 from obsmill.functions import records
 from obsmill.operators import climate, fleet, reports
 from obsmill.plans.rules import resolve
-from obsmill.queries import CIRC, W_LONG, W_MAN, W_OBS, W_TMP, W_USE, manifests, obs, obs_long, query, rounded, usable
+from obsmill.queries import CIRC, W_LONG, W_MAN, W_OBS, W_TMP, W_USE, manifests, obs, obs_long, query, rounded, usable, with_tmp
 
 #: Records and remarks from events: sound ones and every kind of fault.
 RECORDS = """select event_id as obs_id, case when event_id % 31 = 0 then rpad('0005', 3000, 'x') when event_id % 37 = 0 then rpad('0005', 9000, 'x') when event_id % 29 = 0 then '0003short'
@@ -25,8 +25,7 @@ def raw_records(spark, sf_dir):
 
 
 def temperatures(spark, sf_dir):
-    x = d.two_part(F.col("TMP"), resolve("TMP")[0])
-    df = obs(spark, sf_dir).withColumn("x", x)
+    df = with_tmp(obs(spark, sf_dir))
     return df.select("obs_id", "STATION", "DATE", "TMP", "AA1", "VIS", "WND", F.col("x.value").alias("temperature_c"), F.col("x.quality").alias("q"), F.col("x.qc.reason").alias("reason"))
 
 

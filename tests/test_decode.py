@@ -21,11 +21,10 @@ from obsmill.streaming import incremental
     ],
 )
 def test_verdict_priority(spark, cell, value, reason):
-    x = d.two_part(F.col("TMP"), resolve("TMP")[0])
-    row = spark.createDataFrame([(cell,)], "TMP string").select(x.alias("x")).first()["x"]
-    assert row["value"] == (None if value is None else pytest.approx(value))
-    assert row["qc"]["reason"] == reason
-    assert row["qc"]["pass"] == (reason is None)
+    row = d.decode(spark.createDataFrame([(cell,)], "TMP string"), "TMP").first()["tmp_"]
+    assert row["temperature_c"] == (None if value is None else pytest.approx(value))
+    assert row["temperature_c_qc"]["reason"] == reason
+    assert row["temperature_c_qc"]["pass"] == (reason is None)
 
 
 def test_multi_part(spark):
