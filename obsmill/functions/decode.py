@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmill.plans.rules import CRN_FAMILIES, EQD_FLAGS, EQD_MONTHLY, FLAG_ONLY, QUALITY, TABLES, Part, Span, allowed_quality, implied_width, is_eqd, resolve
@@ -20,6 +20,15 @@ REASONS = {MALFORMED: "MALFORMED_TOKEN", BAD: "BAD_QUALITY_CODE", MISSING: "SENT
 NUMBER = r"^\+?[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Where the session hasn't said otherwise: generated methods too long for the JVM's compiler (8,000 bytes) aren't used.
+
+    Decoding many parts makes such methods, which would run interpreted, about three times slower.
+    """
+    if spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535") == "65535":
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def raw_tokens(cell: Column) -> Column:
     return F.split(cell, ",", -1)
 
@@ -37,7 +46,9 @@ def number(text: Column) -> Column:
 
 def plain(text: Column) -> Column:
     """A token without dots, plus signs and leading zeros, as sentinels are compared."""
-    return F.regexp_replace(F.translate(text, ".+", ""), r"^(-?)0+(?=.)", "$1")
+    bare = F.translate(text, ".+", "")
+    stripped = lambda x: F.coalesce(F.nullif(F.ltrim(x, F.lit("0")), F.lit("")), F.when(x != "", "0"), F.lit(""))
+    return F.when(bare.startswith("-"), F.concat(F.lit("-"), stripped(F.substr(bare, F.lit(2))))).otherwise(stripped(bare))
 
 
 def is_sentinel(text: Column, sentinels: tuple[str, ...] | None) -> Column:
@@ -82,14 +93,14 @@ def verdict(state: Column) -> Column:
 def _wrong_width(part: Part, raw: Column, text: Column) -> Column:
     wrong = F.lit(False)
     if part.width and part.kind == "numeric":
-        wrong = (raw != text) | (F.length(F.regexp_replace(text, r"^[+-]+", "")) != part.width)
+        wrong = (raw != text) | (F.length(F.ltrim(text, F.lit("+-"))) != part.width)
     elif part.width:
         wrong = F.length(raw) != part.width
     return wrong | ~text.rlike(f"^(?:{part.token})$") if part.token else wrong
 
 
-def _state(identifier: str, parts: tuple[Part, ...], n: int, raw: Column, text: Column, numbers: Column, plains: Column, strict: bool) -> Column:
-    """The state of the n-th part, from the arrays of its cell's tokens."""
+def _state(identifier: str, parts: tuple[Part, ...], n: int, raw: list, text: list, numbers: list, plains: list, strict: bool) -> Column:
+    """The state of the n-th part, from its cell's tokens, untrimmed and trimmed, numbers and comparable forms."""
     part, at = parts[n - 1], n - 1
     t, value = text[at], numbers[at]
     lone = len(parts) == 1 and part.quality is not None  # a value and its quality code
@@ -143,6 +154,7 @@ def decode_all(df: DataFrame, identifiers: list[str], strict: bool = True) -> Da
     ``part<n>``; verdicts of numeric parts as <part>_qc; quality codes as q<n>, or quality where the family is one value and
     its code. A cell whose tokens don't have the family's number gives null fields; AH keeps them and flags it.
     """
+    prepare(df.sparkSession)
     rules = {}
     for name in identifiers:
         rules[name] = resolve(name)
@@ -151,14 +163,17 @@ def decode_all(df: DataFrame, identifiers: list[str], strict: bool = True) -> Da
     names = list(dict.fromkeys(identifiers))
     hold = {kind: {x: f"_{x}_{kind}" for x in names} for kind in ("raw", "text", "number", "plain", "state")}
     df = df.withColumns({hold["raw"][x]: raw_tokens(F.col(x)) for x in names})
-    df = df.withColumns({hold["text"][x]: F.transform(hold["raw"][x], lambda t: F.trim(t)) for x in names})
-    made = {hold["number"][x]: F.transform(hold["text"][x], lambda t: number(t)) for x in names}
-    df = df.withColumns(made | {hold["plain"][x]: F.transform(hold["text"][x], lambda t: plain(t)) for x in names})
+    place = lambda made: F.struct(*[c.alias(f"k{n}") for n, c in made.items()]) if made else F.lit(None)
+    every = {x: range(1, 1 + max(len(rules[x]), 2 if len(rules[x]) == 1 else 0)) for x in names}
+    df = df.withColumns({hold["text"][x]: place({n: F.trim(F.get(hold["raw"][x], F.lit(n - 1))) for n in every[x]}) for x in names})
+    read = {x: [n for n, p in enumerate(rules[x], 1) if p.kind == "numeric" or p.low is not None or p.high is not None] for x in names}
+    compared = {x: [n for n, p in enumerate(rules[x], 1) if p.sentinels] for x in names}
+    made = {hold["number"][x]: place({n: number(F.col(hold["text"][x])[f"k{n}"]) for n in read[x]}) for x in names}
+    df = df.withColumns(made | {hold["plain"][x]: place({n: plain(F.col(hold["text"][x])[f"k{n}"]) for n in compared[x]}) for x in names})
     states, fields = {}, {}
     for x in names:
         parts, raw, text, numbers, plains = rules[x], *(F.col(hold[k][x]) for k in ("raw", "text", "number", "plain"))
-        pick = lambda array: lambda k: F.get(array, F.lit(k))
-        arrays = [_At(pick(a)) for a in (raw, text, numbers, plains)]
+        arrays = [[F.get(raw, F.lit(n - 1)) for n in every[x]], [text[f"k{n}"] for n in every[x]], *([c[f"k{n}"] if n in have[x] else None for n in every[x]] for c, have in ((numbers, read), (plains, compared)))]
         lone = len(parts) == 1 and parts[0].quality is not None
         whole = F.size(raw) == (2 if lone else len(parts))
         present = F.size(raw) > 0 if x[:2] == "AH" else whole
@@ -200,16 +215,6 @@ def decode_all(df: DataFrame, identifiers: list[str], strict: bool = True) -> Da
     return df.withColumns(out).drop(*[c for kind in hold.values() for c in kind.values()])
 
 
-class _At:
-    """Tokens by place; beyond the last one, null."""
-
-    def __init__(self, pick):
-        self.pick = pick
-
-    def __getitem__(self, k: int) -> Column:
-        return self.pick(k)
-
-
 def decode(df: DataFrame, identifier: str, strict: bool = True) -> DataFrame:
     """decode_all of one family."""
     return decode_all(df, [identifier], strict)
