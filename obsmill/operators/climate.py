@@ -18,6 +18,30 @@ def times(df: DataFrame, date: str = "DATE") -> DataFrame:
     return df.where(d.isNotNull()).withColumns({"year": F.year(d), "month": F.month(d), "day": F.to_date(d), "hour": F.hour(d)})
 
 
+def text_times(df: DataFrame) -> DataFrame:
+    """df with DATE as a timestamp, and year, month, day and hour; rows without a date go.
+
+    DATE is an ISO date or eight digits. One at midnight takes the clock time of TIME (HHMM) where that is valid.
+    DATE_PARSED, where present, stands in for a DATE that can't be read, and is dropped.
+    """
+
+    def read(text: Column) -> Column:
+        at = F.coalesce(F.try_to_timestamp(text), F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd"))))
+        if "TIME" not in df.columns:
+            return at
+        clock = F.col("TIME").cast("string")
+        minutes = F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int")
+        valid = clock.rlike(r"^([01]\d|2[0-3])[0-5]\d$") & (F.date_trunc("day", at) == at)
+        return F.when(valid, F.timestamp_add("MINUTE", F.when(valid, minutes), at)).otherwise(at)
+
+    date = F.when(F.col("DATE").cast("string").rlike(r"^\d{8}$"), F.lit(None).cast("string")).otherwise(F.col("DATE").cast("string"))
+    eight = F.when(F.col("DATE").cast("string").rlike(r"^\d{8}$"), F.col("DATE").cast("string"))
+    at = F.coalesce(read(date), read(eight))
+    if "DATE_PARSED" in df.columns:
+        at = F.coalesce(at, read(F.col("DATE_PARSED").cast("string")))
+    return times(df.withColumn("DATE", at).drop("DATE_PARSED"))
+
+
 def rollup(df: DataFrame, by: list[str], how: dict[str, str]) -> DataFrame:
     """One row a group; each metric by its own function."""
     made = {

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -54,3 +56,43 @@ def unresolved(manifest: DataFrame, artifact: str, upstream: str) -> DataFrame:
     refs = manifest.select(artifact, F.explode(F.from_json(upstream, "array<string>")).alias("reference"))
     known = manifest.select(F.col(artifact).alias("reference")).distinct()
     return refs.join(known, "reference", "left_anti").select(artifact, "reference")
+
+
+def station_id(file_name: Column, station: Column) -> Column:
+    """The eleven-character id of a station: from its file's name (USAF-WBAN, a year after them left out), else from its id."""
+    name = F.regexp_replace(F.regexp_replace(F.trim(file_name), "^.*/", ""), "(?i)[.]csv$", "")
+    name = F.replace(F.regexp_replace(name, r"^(.+)-\d{4}$", "$1"), F.lit("-"), F.lit(""))
+    plain = F.regexp_replace(F.trim(station), "[.]0$", "")
+    number = F.when(plain.rlike("^[0-9]+$") & (F.length(plain) < 11), F.lpad(plain, 11, "0")).otherwise(plain)
+    return F.when(F.coalesce(name, F.lit("")) != "", name).otherwise(number)
+
+
+def truthy(flag: Column) -> Column:
+    return F.coalesce(F.lower(F.trim(flag.cast("string"))).isin("true", "1", "yes", "y", "t"), F.lit(False))
+
+
+def pick(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """One row, the same for the same seed and rows: that of the least hash of seed and key."""
+    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(1)
+
+
+def detectors() -> dict[str, Column]:
+    """Named patterns of raw observations: conditions on TMP, VIS, WND and AA1."""
+    t, v, direction, speed = (F.trim(F.get(F.split(c, ","), F.lit(n))) for c, n in (("TMP", 0), ("VIS", 0), ("WND", 0), ("WND", 3)))
+    period, amount = (F.trim(F.get(F.split("AA1", ","), F.lit(n))) for n in (0, 1))
+    signed, digits = r"^[+-]?\d+$", r"^\d+$"
+    valid = [t.rlike(signed) & ~t.isin("+9999", "-9999"), v.rlike(digits) & (v != "999999"), speed.rlike(digits) & (speed != "9999")]
+    missing = [t.isin("+9999", "-9999"), v == "999999", speed == "9999"]
+    some = lambda xs: reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in xs])
+    return {
+        "tmp_missing_sentinel": t == "+9999", "tmp_negative_sentinel": t == "-9999", "vis_missing_sentinel": v == "999999", "wnd_calm_valid": (direction == "000") & (speed == "0000"),
+        "wnd_missing_dir_valid_spd": (direction == "999") & valid[2], "wnd_fully_missing": (direction == "999") & (speed == "9999"),
+        "aa1_valid_precip": period.rlike(digits) & (period != "99") & amount.rlike(digits) & (amount != "9999"), "aa1_missing_sentinel": amount == "9999",
+        "mixed_validity": some(valid) & some(missing), "multi_family_informative": (t != "") & (v != "") & (direction != "") & (period != ""),
+    }
+
+
+def matches(df: DataFrame) -> DataFrame:
+    """One row for each pattern that a row of df matches: its columns and pattern."""
+    found = F.array_compact(F.array(*[F.when(c, k) for k, c in detectors().items()]))
+    return df.withColumn("pattern", F.explode(found))

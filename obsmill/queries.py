@@ -163,7 +163,7 @@ def suspects(spark, sf_dir):
 @query("V41_units", W_TMP + " select obs_id, round(temperature_c * 9 / 5 + 32, 9) as temperature_f from tmp")
 def units(spark, sf_dir):
     df = with_tmp(obs(spark, sf_dir)).select("obs_id", F.col("t").alias("temperature_c"))
-    return rounded(add_units(df).select("obs_id", "temperature_f"), "temperature_f")
+    return rounded(add_units(df).select("obs_id", F.col("temperature_c_f").alias("temperature_f")), "temperature_f")
 
 
 @query("V38_times", W_LONG + " select obs_id, cast(year as integer) as year, cast(month as integer) as month, day, cast(hour as integer) as hour from lng")
