@@ -1,30 +1,31 @@
 """Language-model scores from a log-frequency Bloom filter, and smoothed unigram scores.
 
-The model predicts the bytes of the lower-cased words (A-Z), each after one space, and an end mark, from up to
-five bytes before. Training counts of six-byte windows, over all training documents, are summed by Spark and
-give those of all shorter windows. Counts of one and two bytes are exact (65,536 pairs at the most). For longer
-ones the filter holds quantised numbers, each as a chain of entries that is probed until one is missing:
-
-* of a window, q: its count, rounded down to a power of two;
-* of a context (a window without its last byte), S: the sum of q over the bytes seen after it, rounded up to
-  four binary digits after the first; and T: how many different bytes follow it, rounded down to a power of two.
-
-Each order is smoothed with the one below: P = (q + T * below) / (S + T + the false q to be expected). As S is
-no less than the sum of q, the probabilities of all next bytes sum to one or less; what a false positive adds
-to q is what the last term takes away on average, and one in S or T can't raise the sum.
-
-All entries of a window and its context lie in one slice of the filter, which the two bytes before the last
-choose. Slices are packed into filters of ``filter_bytes`` or less by counts of their entries, and each filter
-is broadcast, probed by one pass over the texts and freed before the next. The model so grows with the corpus:
-no window is left out at any size, and what is broadcast at once is bounded. (A slice of its own that is larger
-than ``filter_bytes`` is a filter of that slice's size.)
+The model predicts the lower-cased words (A-Z) of a text and its end token from the word before (``order`` 2) or
+several. Its unigrams are those of the base score, so that words never met in training are one class to both.
+Counts of n-grams, over all training documents, are summed by Spark; the filter holds them quantised, each as a
+chain of entries that is probed until one is missing:
+
+* of an n-gram, q: its count, rounded down to a power of two;
+* of a context (an n-gram without its last word), S: the sum of q over the words seen after it, rounded up to
+  four binary digits after the first; and T: how many different words follow it, rounded down to a power of two.
+
+An n-gram that is held has the probability q / (S + T + E); for others of a context that was met the order below
+counts, times T / (S + T + E). As S is no less than the sum of q, the probabilities of all next tokens sum to one
+or less; E is what the false positives of all distinct words are expected to add to q. The first entry of an
+n-gram's chain is probed so many more times, the more distinct words there are, that E stays under 0.3.
+
+All entries that a token needs lie in one slice of the filter, which the word before chooses. Slices are packed
+into filters of ``filter_bytes`` or less by counts of their entries, and each filter is broadcast, probed by one
+pass over the texts and freed before the next. The model so grows with the corpus: no n-gram is left out at any
+size, and what is broadcast at once is bounded; passes grow with the filter, so ``filter_bytes`` is to be raised
+with the workers' memory. (A slice of its own that is larger than ``filter_bytes`` is a filter of that size.)
 
 Word counts are exact (by 64-bit hash). The ``frequent`` most common tokens are broadcast, a bounded table; the
 others' counts are joined with the documents' remaining tokens.
 
 Defined results: null and empty text is the end token alone. Without training documents, N and V are 0, every
-token's probability is 0.1 / 0.1, base score 0, and every byte has probability 1 / 256. Repeated rows and ids
-are each scored, null ids included; an empty table gives no rows. Other columns are not read.
+token's probability is 0.1 / 0.1, and both scores are 0. Repeated rows and ids are each scored, null ids included;
+an empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,114 +40,116 @@ from pyspark.sql import functions as F
 
 from obsmill.llm import common, textnum
 
-ORDER = 6
-EXACT = 2  # orders whose counts aren't in the filter
-END = 0x0A
-END_HASH = 1  # of the end token; no word is hashed to it but by chance of 2 ** -64
-TOKENS, WINDOWS = 0, 1
+ORDER = 2
+#: Hashes of the end token and of what comes before a text; no word is hashed to them but by chance of 2 ** -64.
+END_HASH, START_HASH = np.uint64(1), np.uint64(2)
+TOKENS = 1  # kind of counts of single tokens; n-grams have their order
 BLOCK_BITS = 19
-PROBES = 7
-BITS_PER_ENTRY = 14
+PROBES = 10  # of entries other than the first of an n-gram
 DIGITS = 4  # binary digits of S after the first
-MEMO_BITS = 23  # slots for the probabilities of windows already met
 #: Tags of entries: chains of q, S and T, and the digits of S.
 Q, S, T, DIGIT = 0, 64, 128, 192
-_MEMO: dict = {}
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_LOW = np.uint64((1 << 48) - 1)
+
+
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of the texts in order, each text's end token included, and the text of each."""
+    buf, starts = textnum.joined(texts, lower=True)
+    begin, end = textnum.words(buf)
+    owner = np.searchsorted(starts, begin, "right") - 1
+    hashes = np.concatenate([textnum.word_hashes(buf, begin, end), np.full(len(texts), END_HASH)])
+    owner = np.concatenate([owner, np.arange(len(texts))])
+    order = np.argsort(owner, kind="stable")
+    return hashes[order], owner[order]
+
+
+def grams(tokens: np.ndarray, owner: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(context, n-gram) keys of all tokens for orders 2 to ``order``. A context's upper 16 bits are its slice, by the word before."""
+    first = np.r_[True, owner[1:] != owner[:-1]]
+    before, context = tokens, np.zeros(len(tokens), np.uint64)
+    for k in range(2, order + 1):
+        before = np.where(first, START_HASH, np.r_[START_HASH, before[:-1]])
+        key = textnum.mix(context + before * _GOLDEN + np.uint64(k))
+        context = key if k == 2 else (key & _LOW) | (context & ~_LOW)
+        yield context, textnum.mix(textnum.mix(context) + tokens)
+
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    context, key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    keys, at, which = np.unique(key, return_index=True, return_inverse=True)  # an n-gram's key tells its context
+    return context[at], keys, np.bincount(which, n).astype(np.int64)
 
-def tokens_and_bytes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes with the end token, the text of each; six-byte windows as integers, the text of each."""
-    clean = [b" " + b" ".join(t.lower().split()) + b"\n" if t.strip(b" \t\n\x0b\x0c\r") else b"\n" for t in texts]
-    buf = np.frombuffer(b"\n" * (ORDER - 1) + b"".join(clean), np.uint8)
-    lengths = np.array([len(t) for t in clean])
-    space = (buf == 0x20) | (buf == END)
-    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
-    begin, end = edge[0::2], edge[1::2]
-    owner = np.repeat(np.arange(len(clean), dtype=np.int32), lengths)
-    hashes = textnum.word_hashes(buf, begin, end)
-    window = np.zeros(len(buf) - ORDER + 1, np.uint64)
-    heads = np.cumsum([0, *lengths[:-1]])
-    fresh = np.arange(len(window)) - heads[owner]  # bytes since the text began: no window sees the text before
-    for k in range(ORDER):
-        back = ORDER - 1 - k
-        byte = buf[k : len(buf) - back].astype(np.uint64)
-        if back:
-            byte = np.where(fresh >= back, byte, np.uint64(END))
-        window = (window << np.uint64(8)) | byte
-    return np.concatenate([hashes, np.full(len(clean), END_HASH, np.uint64)]), np.concatenate([owner[begin - ORDER + 1], np.arange(len(clean), dtype=np.int32)]), window, owner
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(which, np.concatenate([c for _, c in parts])).astype(np.int64)
-
-
-def counts(train: DataFrame, text: str = "text", hold: int = 1 << 20) -> DataFrame:
-    """(kind, key, n): exact counts of token hashes and of six-byte windows over all rows of train.
+
+def counts(train: DataFrame, text: str = "text", order: int = ORDER, hold: int = 1 << 20) -> DataFrame:
+    """(kind, context, key, n): exact counts of tokens (context 0) and of n-grams over all rows of train.
 
     A task sums what it meets and passes it on whenever it holds more than ``hold`` counts of a kind.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {TOKENS: [], WINDOWS: []}
+        kept: dict[int, list] = {k: [] for k in range(TOKENS, order + 1)}
 
         def flush(kind: int, least: int) -> Iterator[pd.DataFrame]:
-            if sum(len(k) for k, _ in kept[kind]) > least:
+            if sum(len(k) for _, k, _ in kept[kind]) > least:
                 kept[kind] = [_summed(kept[kind])]
-                if len(kept[kind][0][0]) > least // 2:
-                    keys, n = kept[kind].pop()
+                if len(kept[kind][0][1]) > least // 2:
+                    context, keys, n = kept[kind].pop()
                     for lo in range(0, len(keys), 1 << 17):
-                        yield pd.DataFrame({"kind": np.int32(kind), "key": keys[lo : lo + (1 << 17)].view(np.int64), "n": n[lo : lo + (1 << 17)]})
+                        part = slice(lo, lo + (1 << 17))
+                        yield pd.DataFrame({"kind": np.int32(kind), "context": context[part].view(np.int64), "key": keys[part].view(np.int64), "n": n[part]})
 
         for pdf in batches:
             raw = [textnum.encode(t) for t in pdf["text"]]
             for lo, hi in textnum.blocks(raw):
-                tokens, _, windows, _ = tokens_and_bytes(raw[lo:hi])
-                for kind, keys in ((TOKENS, tokens), (WINDOWS, windows)):
-                    kept[kind].append(np.unique(keys, return_counts=True))
+                tokens, owner = tokens_of(raw[lo:hi])
+                one = np.ones(len(tokens), np.int64)
+                for kind, (context, key) in enumerate([(np.zeros_like(tokens), tokens), *grams(tokens, owner, order)], TOKENS):
+                    kept[kind].append(_summed([(context, key, one)]))
                     yield from flush(kind, hold)
         for kind in kept:
             yield from flush(kind, 0)
 
-    return train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    return train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, context long, key long, n long").groupBy("kind", "context", "key").agg(F.sum("n").alias("n"))
 
 
-def key_of(gram: np.ndarray, order: int) -> np.ndarray:
-    """The key of a window or context of ``order`` bytes; also of several."""
-    mask = np.uint64((1 << 8 * order) - 1)
-    return textnum.mix((gram & mask) + np.uint64(order << 56))
+def first_probes(distinct: int) -> int:
+    """Probes of an n-gram's first entry, at which the false positives of ``distinct`` words are under 0.3."""
+    return max(PROBES, int(4 * distinct).bit_length())
 
 
 class LogFrequencyFilter:
     """Chains of entries in blocks of 64 KB, each made in one task."""
 
-    def __init__(self, blocks: np.ndarray, false_rate: float):
-        self.blocks, self.false_rate = blocks, false_rate
+    def __init__(self, blocks: np.ndarray, first: int, fill: float):
+        """first: probes of the first entry of an n-gram; fill: the share of bits that are set."""
+        self.blocks, self.first, self.fill = blocks, first, fill
 
     @staticmethod
-    def places(key: np.ndarray, tag: np.ndarray | int) -> Iterator[np.ndarray]:
-        """Bits within the key's block."""
+    def walk(key: np.ndarray, tag: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where an entry's bits begin within the key's block, the first step, and by how much steps grow."""
         h = textnum.mix(key + np.asarray(tag, np.uint64) * _GOLDEN)
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        for _ in range(PROBES):
-            yield h & np.uint64((1 << BLOCK_BITS) - 1)
-            h = h + step
+        return h, (h >> np.uint64(BLOCK_BITS)) | np.uint64(1), h >> np.uint64(2 * BLOCK_BITS)
 
     @staticmethod
-    def block_of(key: np.ndarray, n_blocks: int) -> np.ndarray:
-        return ((key >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
+    def places(key: np.ndarray, tag: np.ndarray | int, probes: int) -> Iterator[np.ndarray]:
+        """Bits within the key's block."""
+        h, step, growth = LogFrequencyFilter.walk(key, tag)
+        for _ in range(probes):
+            yield h & np.uint64((1 << BLOCK_BITS) - 1)
+            h, step = h + step, step + growth
 
     def holds(self, key: np.ndarray, tag: int) -> np.ndarray:
-        base = self.block_of(key, len(self.blocks)) << np.uint64(BLOCK_BITS)
-        h = textnum.mix(key + np.array([tag], np.uint64) * _GOLDEN)
-        flat = self.blocks.reshape(-1)
-        step, live, mask = (h >> np.uint64(32)) | np.uint64(1), np.arange(len(key)), np.uint64((1 << BLOCK_BITS) - 1)
-        for _ in range(PROBES):
+        flat, mask = self.blocks.reshape(-1), np.uint64((1 << BLOCK_BITS) - 1)
+        base = (((key & np.uint64(0xFFFFFFFF)) * np.uint64(len(self.blocks))) >> np.uint64(32)) << np.uint64(BLOCK_BITS)
+        h, step, growth = self.walk(key, tag)
+        live = np.arange(len(key))
+        for _ in range(self.first if tag == Q + 1 else PROBES):
             bit = base + (h & mask)
             hit = (flat[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            live, base, step = live[hit], base[hit], step[hit]
-            h = h[hit] + step
+            if not hit.all():
+                live, base, h, step, growth = live[hit], base[hit], h[hit], step[hit], growth[hit]
+            h, step = h + step, step + growth
         out = np.zeros(len(key), bool)
         out[live] = True
         return out
@@ -163,19 +166,12 @@ class LogFrequencyFilter:
 
 
 class Model:
-    """A filter with the probabilities of two-byte windows, which come from exact counts."""
-
-    def __init__(self, lm: LogFrequencyFilter | None, pairs: np.ndarray, slices: np.ndarray, number: int):
-        """pairs: 256 x 256 counts of a byte after a byte; slices: the filter's number of each slice."""
-        self.lm, self.slices, self.number = lm, slices, number
-        single, seen = pairs.sum(axis=0), pairs > 0
-        one = (single + (single > 0).sum() / 256) / max(1, single.sum() + (single > 0).sum()) if single.sum() else np.full(256, 1 / 256)
-        follow = seen.sum(axis=1, keepdims=True)
-        self.two = np.where(follow > 0, (pairs + follow * one) / np.maximum(1, pairs.sum(axis=1, keepdims=True) + follow), one)
-        self.seen, self.follow = seen, follow[:, 0].astype(float)
+    """A filter, the slices that it serves, and how many false positives are to be expected after a context."""
 
-    def mine(self, window: np.ndarray) -> np.ndarray:
-        return self.slices[((window >> np.uint64(8)) & np.uint64(0xFFFF)).astype(np.int64)] == self.number
+    def __init__(self, lm: LogFrequencyFilter | None, slices: np.ndarray, number: int, distinct: int, order: int = ORDER):
+        """slices: the filter's number of each slice; distinct: how many different words training has."""
+        self.lm, self.slices, self.number, self.order = lm, slices, number, order
+        self.false = distinct * lm.fill**lm.first if lm else 0.0
 
     def of_contexts(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """S and T of contexts; 0 and 1 for those not met."""
@@ -187,99 +183,80 @@ class Model:
         follow[live] = 2.0 ** self.lm.chain(key[live], T)
         return total, follow
 
-    def probability(self, window: np.ndarray) -> np.ndarray:
-        """The probability of a window's last byte after those before it; all are of this model's filter."""
-        last, before = (window & np.uint64(0xFF)).astype(np.int64), ((window >> np.uint64(8)) & np.uint64(0xFF)).astype(np.int64)
-        p = self.two[before, last]
-        if self.lm is None:
-            return p
-        live = np.arange(len(window))  # windows whose context of this order was met
-        seen, below = self.seen[before, last], self.follow[before]
-        for order in range(EXACT + 1, ORDER + 1):
-            w = window[live]
-            context = (w >> np.uint64(8)) & np.uint64((1 << 8 * (order - 1)) - 1)
-            head = np.r_[True, context[1:] != context[:-1]]  # neighbours of one context share its probes
-            total, follow = (x[np.cumsum(head) - 1] for x in self.of_contexts(key_of(context[head], order - 1)))
-            met = total > 0
-            live, w, total, follow, seen, below = live[met], w[met], total[met], follow[met], seen[met], below[met]
-            if not len(live):
-                break
-            q = np.zeros(len(live))
-            levels = self.lm.chain(key_of(w[seen], order), Q)
-            q[seen] = np.where(levels > 0, 2.0 ** (levels - 1), 0)
-            q = np.where(q <= total, q, 0)
-            seen = q > 0
-            p[live] = (q + follow * p[live]) / (total + follow + self.lm.false_rate * below)
-            below = follow
-        return p
-
-
-def entries(windows: DataFrame, scratch: common.Scratch) -> tuple[DataFrame, np.ndarray]:
-    """(slice, key_order, gram, tag, upto) rows of chains and digits of all windows, and the counts of pairs of bytes."""
-    pair = F.col("key").bitwiseAND(F.lit(0xFFFF))
-    pairs = np.zeros((256, 256))
-    for r in windows.groupBy(pair.cast("int").alias("pair")).agg(F.sum("n").alias("n")).collect():
-        pairs[r["pair"] >> 8, r["pair"] & 255] = r["n"]
-    orders = F.explode(F.array(*[F.struct(F.lit(k).alias("order"), F.col("key").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")) for k in range(EXACT + 1, ORDER + 1)]))
-    level = (F.floor(F.log2(F.sum("n").cast("double"))) + 1).cast("int")
-    grams = scratch.table(windows.select(orders.alias("x"), "n").groupBy("x.order", "x.gram").agg(level.alias("q")), "grams")
-    of_slice = lambda shift: F.shiftright("gram", shift).bitwiseAND(F.lit(0xFFFF)).cast("int")
-    q = grams.select(of_slice(8).alias("slice"), F.col("order").alias("key_order"), "gram", F.lit(Q).alias("tag"), F.col("q").alias("upto"))
-    context = grams.groupBy((F.col("order") - 1).alias("key_order"), F.shiftright("gram", 8).alias("gram")).agg(F.sum(F.pow(F.lit(2.0), F.col("q") - 1)).alias("s"), F.count("*").alias("t"))
+    def back_off(self, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of what n-grams give each token, 0 for tokens of other filters, and which tokens of this one are left to the unigram."""
+        out, left = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
+        keys = list(grams(tokens, owner, self.order))
+        live = np.flatnonzero(self.slices[(keys[0][0] >> np.uint64(48)).astype(np.int64)] == self.number)
+        for context, gram in reversed(keys if self.lm else []):
+            contexts, of = np.unique(context[live], return_inverse=True)
+            total, follow = (x[of] for x in self.of_contexts(contexts))
+            met = np.flatnonzero(total > 0)
+            wanted, of = np.unique(gram[live[met]], return_inverse=True)
+            levels = self.lm.chain(wanted, Q)[of]
+            total, follow = total[met], follow[met]
+            q = np.where(levels > 0, 2.0 ** (levels - 1), 0)
+            q = np.minimum(q, total)  # no more than S, whatever the filter adds falsely
+            out[live[met]] += np.log10(np.where(q > 0, q, follow) / (total + follow + self.false))
+            done = np.zeros(len(live), bool)
+            done[met] = q > 0
+            live = live[~done]
+        left[live] = True
+        return out, left
+
+
+def entries(counted: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(slice, key, tag, upto) rows of chains and digits of all n-grams and their contexts."""
+    slice_of = F.shiftrightunsigned("context", 48).cast("int").alias("slice")
+    q = (F.floor(F.log2(F.col("n").cast("double"))) + 1).cast("int")
+    held = counted.where(F.col("kind") > TOKENS).select("context", "key", q.alias("q"))
+    context = held.groupBy("context").agg(F.sum(F.pow(F.lit(2.0), F.col("q") - 1)).alias("s"), F.count("*").alias("t"))
     # S as first digit and parts of it above, rounded up; what rounds to the whole is the next first digit.
     context = context.withColumn("lead", F.floor(F.log2("s")).cast("int"))
     context = context.withColumn("parts", F.when(F.col("lead") > 0, F.ceil((F.col("s") / F.pow(F.lit(2.0), "lead") - 1) * (1 << DIGITS)).cast("int")).otherwise(F.lit(0)))
     context = context.withColumns({"lead": F.when(F.col("parts") == 1 << DIGITS, F.col("lead") + 1).otherwise(F.col("lead")), "parts": F.col("parts") % (1 << DIGITS)})
+    context = scratch.table(context.select("context", "t", "lead", "parts"), "contexts")
     digit = lambda i: F.struct(F.lit(DIGIT + i - 1).alias("tag"), F.when(F.col("parts").bitwiseAND(F.lit(1 << (DIGITS - 1 - i))) != 0, 1).otherwise(0).alias("upto"))
     chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), F.struct(F.lit(T).alias("tag"), F.floor(F.log2("t")).cast("int").alias("upto")), *map(digit, range(DIGITS)))
-    of_context = context.select(of_slice(0).alias("slice"), "key_order", "gram", F.explode(chains).alias("x")).select("slice", "key_order", "gram", "x.*").where("upto > 0")
-    return scratch.table(q.unionAll(of_context), "entries"), pairs
+    of_context = context.select(slice_of, F.col("context").alias("key"), F.explode(chains).alias("x")).select("slice", "key", "x.*").where("upto > 0")
+    return held.select(slice_of, "key", F.lit(Q).alias("tag"), F.col("q").alias("upto")).unionAll(of_context)
 
 
-def _keys(gram: np.ndarray, order: np.ndarray) -> np.ndarray:
-    key = np.zeros(len(gram), np.uint64)
-    for k in range(EXACT, ORDER + 1):
-        at = order == k
-        key[at] = key_of(gram[at], k)
-    return key
-
-
-def make_filter(held: DataFrame, n_entries: int, bits_per_entry: int = BITS_PER_ENTRY) -> LogFrequencyFilter:
-    """The filter of entries, whose blocks are made on the executors."""
-    n_blocks = max(1, -(-n_entries * bits_per_entry >> BLOCK_BITS))
+def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilter:
+    """The filter of entries, whose blocks are made on the executors; about half of its bits are set."""
+    n_blocks = max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[int, np.ndarray] = {}
         for pdf in batches:
-            key = _keys(pdf["gram"].to_numpy(np.int64).view(np.uint64), pdf["key_order"].to_numpy())
-            tag, upto, block = pdf["tag"].to_numpy(np.int64), pdf["upto"].to_numpy(np.int64), pdf["block"].to_numpy(np.int64)
+            key, tag, upto, block = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["tag"].to_numpy(np.int64), pdf["upto"].to_numpy(np.int64), pdf["block"].to_numpy(np.int64)
             for lv in range(1, int(upto.max(initial=0)) + 1):
-                live = upto >= lv
-                order = np.argsort(block[live], kind="stable")
-                of = block[live][order]
-                cut = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
-                for place in LogFrequencyFilter.places(key[live][order], (tag[live] + lv)[order]):
-                    for a, b in zip(cut[:-1], cut[1:], strict=True):
-                        target = made.setdefault(int(of[a]), np.zeros(1 << BLOCK_BITS - 3, np.uint8))
-                        at = place[a:b]
-                        np.bitwise_or.at(target, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+                for one in (True, False):
+                    live = np.flatnonzero((upto >= lv) & (((tag == Q) & (lv == 1)) == one))
+                    live = live[np.argsort(block[live], kind="stable")]
+                    if not len(live):
+                        continue
+                    of = block[live]
+                    cut = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
+                    for place in LogFrequencyFilter.places(key[live], tag[live] + lv, first if one else PROBES):
+                        for a, b in zip(cut[:-1], cut[1:], strict=True):
+                            target = made.setdefault(int(of[a]), np.zeros(1 << BLOCK_BITS - 3, np.uint8))
+                            at = place[a:b]
+                            np.bitwise_or.at(target, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
         for b, array in made.items():
             yield pd.DataFrame({"block": [b], "data": [array.tobytes()]})
 
-    @F.pandas_udf("int")
-    def block(gram: pd.Series, order: pd.Series) -> pd.Series:
-        return pd.Series(LogFrequencyFilter.block_of(_keys(gram.to_numpy(np.int64).view(np.uint64), order.to_numpy()), n_blocks).astype(np.int32))
-
+    block = F.shiftrightunsigned(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)) * F.lit(n_blocks), 32).cast("int")
     blocks = np.zeros((n_blocks, 1 << BLOCK_BITS - 3), np.uint8)
-    got = held.withColumn("block", block("gram", "key_order")).repartition("block").mapInPandas(make, "block int, data binary").toPandas()
+    got = held.select("key", "tag", "upto", block.alias("block")).repartition("block").mapInPandas(make, "block int, data binary").toPandas()
     for b, data in zip(got["block"], got["data"], strict=True):
         blocks[b] |= np.frombuffer(data, np.uint8)
-    fill = float(np.unpackbits(blocks[:64].reshape(-1)).mean())
-    return LogFrequencyFilter(blocks, fill**PROBES)
+    fill = np.mean([np.unpackbits(b).mean() for b in blocks[:64]])
+    return LogFrequencyFilter(blocks, first, float(fill))
 
 
 def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The filter of each slice, and each filter's (first slice, last slice, entries), from (slice, entries)."""
+    """The filter of each slice, and each filter's (first slice, last slice, size), from (slice, size)."""
     of, filters = np.zeros(1 << 16, np.int64), []
     for number, n in sorted(sizes):
         if filters and filters[-1][2] + n <= room:
@@ -290,44 +267,15 @@ def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tu
     return of, filters
 
 
-def _context_first(window: np.ndarray) -> np.ndarray:
-    """Windows as numbers that sort by their contexts, from the byte before the last on."""
-    back = window.byteswap() >> np.uint64(64 - 8 * ORDER)
-    return ((back << np.uint64(8)) & np.uint64((1 << 8 * ORDER) - 1)) | (window & np.uint64(0xFF))
-
-
-def _context_last(number: np.ndarray) -> np.ndarray:
-    back = (number >> np.uint64(8)) | ((number & np.uint64(0xFF)) << np.uint64(8 * ORDER - 8))
-    return (back << np.uint64(64 - 8 * ORDER)).byteswap()
-
-
-def log_probabilities(model: Model, window: np.ndarray) -> np.ndarray:
-    """log10 of the windows' probabilities, 0 for those of other filters; a worker keeps those that it met."""
-    if _MEMO.get("model") is not model:
-        _MEMO.update(model=model, keys=np.full(1 << MEMO_BITS, -1, np.int64), values=np.zeros(1 << MEMO_BITS, np.float32))
-    memo_key, memo = _MEMO["keys"], _MEMO["values"]
-    slot = ((window * _GOLDEN) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-    miss = np.flatnonzero(memo_key[slot] != window.view(np.int64))
-    fresh, back = np.unique(_context_first(window[miss]), return_inverse=True)
-    fresh = _context_last(fresh)
-    found, mine = np.zeros(len(fresh), np.float32), model.mine(fresh)
-    found[mine] = np.log10(model.probability(fresh[mine]))  # as it is kept, so that hits and misses agree
-    value = memo[slot].astype(np.float64)
-    value[miss] = found[back]
-    where = ((fresh * _GOLDEN) >> np.uint64(64 - MEMO_BITS)).astype(np.int64)
-    where, first = np.unique(where, return_index=True)  # windows that share a slot: one of them stays
-    memo_key[where], memo[where] = fresh[first].view(np.int64), found[first]
-    return value
-
-
-def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1 << 18, filter_bytes: int = 1 << 28) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER, frequent: int = 1 << 18, filter_bytes: int = 1 << 27) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
-        counted = scratch.table(counts(docs.where(train), text), "counts")
+        counted = scratch.table(counts(docs.where(train), text, order), "counts")
         tokens = counted.where(F.col("kind") == TOKENS).select("key", "n")
         whole = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
         total, distinct = whole["n"], whole["v"]
+        norm = float(np.log10(total + 0.1 * (distinct + 1)))
         least, room = None, frequent
         for r in tokens.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(frequent).collect():
             room -= r["tokens"]
@@ -335,66 +283,64 @@ def score(docs: DataFrame, train: Column, text: str = "text", frequent: int = 1
                 break
             least = r["n"]
         common_ = (tokens.where(F.col("n") >= least) if least else tokens.limit(0)).toPandas().sort_values("key", ignore_index=True)
-        words = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), common_["n"].to_numpy(np.int64)))
+        words = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), np.log10(common_["n"].to_numpy(np.int64) + 0.1)))
 
-        def base(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """Of each row what the frequent tokens give, the rare ones' keys, and its windows' scores by the first filter."""
-            keys, n = words.value
+        def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            """Of each row: what the frequent tokens give, what n-grams of this filter give, and the rare tokens' keys, those left to the unigram apart."""
+            keys, logs = words.value
             for pdf in batches:
                 raw = [textnum.encode(t) for t in pdf["text"]]
                 for lo, hi in textnum.blocks(raw):
-                    hashes, owner, window, of = tokens_and_bytes(raw[lo:hi])
+                    hashes, owner = tokens_of(raw[lo:hi])
                     size = hi - lo
                     signed = hashes.view(np.int64)
                     at = np.minimum(np.searchsorted(keys, signed), max(0, len(keys) - 1))
                     hit = keys[at] == signed if len(keys) else np.zeros(len(signed), bool)
-                    rare = np.flatnonzero(~hit)
-                    rare = rare[np.argsort(owner[rare], kind="stable")]
-                    cut = np.searchsorted(owner[rare], np.arange(size + 1))
+                    log = np.zeros(len(signed))
+                    log[hit] = logs[at[hit]]
+                    given, left = held.value.back_off(hashes, owner)
+                    per = lambda which: np.split(signed[which], np.searchsorted(owner[which], np.arange(1, size)))  # noqa: B023, E731
                     yield pd.DataFrame({
                         "row": pdf["row"].iloc[lo:hi].to_numpy(),
                         "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy(),
                         "n_tokens": np.bincount(owner, minlength=size),
                         "n_hit": np.bincount(owner[hit], minlength=size),
-                        "base": np.bincount(owner[hit], np.log10(n[at[hit]] + 0.1), size),
-                        "score": np.bincount(of, log_probabilities(held.value, window), size),
-                        "rare": [signed[rare[cut[i] : cut[i + 1]]] for i in range(size)],
+                        "base": np.bincount(owner, log - norm, size),
+                        "score": np.bincount(owner, np.where(left, given + log - norm, given), size),
+                        "rare": per(~hit & ~left),
+                        "rare_left": per(~hit & left),
                     })
 
-        def more(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                raw = [textnum.encode(t) for t in pdf["text"]]
-                for lo, hi in textnum.blocks(raw):
-                    _, _, window, of = tokens_and_bytes(raw[lo:hi])
-                    yield pd.DataFrame({"row": pdf["row"].iloc[lo:hi].to_numpy(), "score": np.bincount(of, log_probabilities(held.value, window), hi - lo)})
-
-        held_entries, pairs = entries(counted.where(F.col("kind") == WINDOWS).select("key", "n"), scratch)
-        n_entries = F.sum(F.when(F.col("tag") >= DIGIT, 1).otherwise(F.col("upto")))
-        slices, filters = packed([tuple(r) for r in held_entries.groupBy("slice").agg(n_entries.alias("n")).collect()], filter_bytes * 8 // BITS_PER_ENTRY)
+        held_entries = entries(counted, scratch)
+        first = first_probes(distinct)
+        n_probes = F.sum(F.when(F.col("tag") == Q, F.lit(first) + PROBES * (F.col("upto") - 1)).when(F.col("tag") >= DIGIT, F.lit(PROBES)).otherwise(PROBES * F.col("upto")))
+        slices, filters = packed([tuple(r) for r in held_entries.groupBy("slice").agg(n_probes.alias("n")).collect()], int(filter_bytes * 8 * np.log(2)))
         # ids pass as text, since null ones would make doubles of them
         rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"))
         if len(filters) > 1:  # row numbers stay the same from pass to pass
             rows = scratch.table(rows, "rows")
-        further = []
+        columns = "row long, doc_id string, n_tokens long, n_hit long, base double, score double, rare array<long>, rare_left array<long>"
+        passes = []
         for number in range(max(1, len(filters))):
             lm = None
             if filters:
                 low, high, n = filters[number]
-                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n)
-            held = spark.sparkContext.broadcast(Model(lm, pairs, slices, number))
-            if number == 0:
-                measured = scratch.table(rows.mapInPandas(base, "row long, doc_id string, n_tokens long, n_hit long, base double, score double, rare array<long>"), "measured")
-            else:
-                further.append(scratch.table(rows.select("row", "text").mapInPandas(more, "row long, score double"), f"scores{number}"))
+                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n, first)
+            held = spark.sparkContext.broadcast(Model(lm, slices, number, distinct, order))
+            out = rows.mapInPandas(measure, columns)
+            passes.append(scratch.table(out if number == 0 else out.select("row", "score", "rare_left"), f"pass{number}"))
             held.destroy()
         words.destroy()
-        rest = measured.select("row", F.explode("rare").alias("key")).join(tokens, "key", "left")
-        parts = rest.groupBy("row").agg(F.count("n").alias("more"), F.sum(F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))).alias("sum"))
-        norm = float(np.log10(total + 0.1 * (distinct + 1)))
-        out = measured.drop("rare").join(parts, "row", "left")
+        listed = lambda df, name, base, own: df.select("row", F.explode(name).alias("key"), F.lit(base).alias("base"), F.lit(own).alias("own"))
+        measured, further = passes[0], passes[1:]
+        rare = [listed(measured, "rare", 1, 0), listed(measured, "rare_left", 1, 1), *[listed(p, "rare_left", 0, 1) for p in further]]
+        rest = reduce(DataFrame.unionAll, rare).join(tokens, "key", "left")
+        log = F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))
+        parts = rest.groupBy("row").agg(F.count(F.when(F.col("base") == 1, F.col("n"))).alias("more"), F.sum(F.col("base") * log).alias("of_base"), F.sum(F.col("own") * log).alias("of_score"))
+        out = measured.drop("rare", "rare_left").join(parts, "row", "left")
         if further:
-            out = out.join(reduce(DataFrame.unionAll, further).groupBy("row").agg(F.sum("score").alias("rest")), "row").withColumn("score", F.col("score") + F.col("rest"))
+            out = out.join(reduce(DataFrame.unionAll, [p.select("row", "score") for p in further]).groupBy("row").agg(F.sum("score").alias("rest")), "row").withColumn("score", F.col("score") + F.col("rest"))
         out = out.select(
             F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", (F.col("n_hit") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("sum", F.lit(0.0)) - F.col("n_tokens") * F.lit(norm)).alias("base_score"), "score")
+            (F.col("base") + F.coalesce("of_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("of_score", F.lit(0.0))).alias("score"))
         return common.Scratch(spark, "lm-scores").result(out)
