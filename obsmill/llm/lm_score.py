@@ -1,22 +1,23 @@
 """Language-model scores from a log-frequency Bloom filter, and smoothed unigram scores.
 
-The model predicts the lower-cased words (A-Z) of a text and its end token from the word before (``order`` 2) or
-several. Its unigrams are those of the base score, so that words never met in training are one class to both.
-Counts of n-grams, over all training documents, are summed by Spark; the filter holds them quantised, each as a
-chain of entries that is probed until one is missing:
+The model predicts the lower-cased words (A-Z) of a text and its end token from the word before. Its unigrams are
+those of the base score, so that words never met in training are one class to both. Counts of pairs of words, over
+all training documents, are summed by Spark; the filter holds them quantised, each as a chain of entries that is
+probed until one is missing:
 
-* of an n-gram, q: its count, rounded down to a power of two;
-* of a context (an n-gram without its last word), S: the sum of q over the words seen after it, rounded up to
-  four binary digits after the first; and T: how many different words follow it, rounded down to a power of two.
+* of a pair, q: its count, rounded down to a power of two;
+* of a context (the word before), S: its count, which is that of the tokens after it, rounded up to four binary
+  digits after the first.
 
-An n-gram that is held has the probability q / (S + T + E); for others of a context that was met the order below
-counts, times T / (S + T + E). As S is no less than the sum of q, the probabilities of all next tokens sum to one
-or less; E is what the false positives of all distinct words are expected to add to q. The first entry of an
-n-gram's chain is probed so many more times, the more distinct words there are, that E stays under 0.3.
+T = S ** ``spread`` stands for the different words that follow a context. A pair that is held has the probability
+q / (S + T + E); for others of a context that was met the unigram counts, times T / (S + T + E). As S is no less than
+the sum of q, the probabilities of all next tokens sum to one or less; E is what the false positives of all distinct
+words are expected to add to q. The first entry of a pair's chain is probed so many more times, the more distinct
+words there are, that E stays under 0.3.
 
 All entries that a token needs lie in one slice of the filter, which the word before chooses. Slices are packed
 into filters of ``filter_bytes`` or less by counts of their entries, and each filter is broadcast, probed by one
-pass over the texts and freed before the next. The model so grows with the corpus: no n-gram is left out at any
+pass over the texts and freed before the next. The model so grows with the corpus: no pair is left out at any
 size, and what is broadcast at once is bounded; passes grow with the filter, so ``filter_bytes`` is to be raised
 with the workers' memory. (A slice of its own that is larger than ``filter_bytes`` is a filter of that size.)
 
@@ -40,15 +41,16 @@ from pyspark.sql import functions as F
 
 from obsmill.llm import common, textnum
 
-ORDER = 2
-#: Hashes of the end token and of what comes before a text; no word is hashed to them but by chance of 2 ** -64.
-END_HASH, START_HASH = np.uint64(1), np.uint64(2)
-TOKENS = 1  # kind of counts of single tokens; n-grams have their order
+SPREAD = 0.8
+#: Hash of the end token, which also stands before a text; no word is hashed to it but by chance of 2 ** -64.
+END_HASH = np.uint64(1)
+TOKENS, PAIRS = 1, 2  # kinds of counts
+BUCKET_BITS = 12  # of a key's lower half: rows of neighbouring blocks are written together
 BLOCK_BITS = 19
-PROBES = 10  # of entries other than the first of an n-gram
+PROBES = 10  # of entries other than the first of a pair
 DIGITS = 4  # binary digits of S after the first
-#: Tags of entries: chains of q, S and T, and the digits of S.
-Q, S, T, DIGIT = 0, 64, 128, 192
+#: Tags of entries: chains of q and S, and the digits of S.
+Q, S, DIGIT = 0, 64, 192
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -64,57 +66,55 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], owner[order]
 
 
-def grams(tokens: np.ndarray, owner: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(context, n-gram) keys of all tokens for orders 2 to ``order``. A context's upper 16 bits are its slice, by the word before."""
+def pairs_of(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, pair) keys of all tokens. The upper 16 bits of both are their slice, by the word before."""
     first = np.r_[True, owner[1:] != owner[:-1]]
-    before, context = tokens, np.zeros(len(tokens), np.uint64)
-    for k in range(2, order + 1):
-        before = np.where(first, START_HASH, np.r_[START_HASH, before[:-1]])
-        key = textnum.mix(context + before * _GOLDEN + np.uint64(k))
-        context = key if k == 2 else (key & _LOW) | (context & ~_LOW)
-        yield context, textnum.mix(textnum.mix(context) + tokens)
+    context = textnum.mix(np.where(first, END_HASH, np.r_[END_HASH, tokens[:-1]]))
+    return context, (context & ~_LOW) | (textnum.mix(textnum.mix(context) + tokens) & _LOW)
 
 
-def _summed(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    context, key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    keys, at, which = np.unique(key, return_index=True, return_inverse=True)  # an n-gram's key tells its context
-    return context[at], keys, np.bincount(which, n).astype(np.int64)
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(which, np.concatenate([c for _, c in parts])).astype(np.int64)
 
 
-def counts(train: DataFrame, text: str = "text", order: int = ORDER, hold: int = 1 << 20) -> DataFrame:
-    """(kind, context, key, n): exact counts of tokens (context 0) and of n-grams over all rows of train.
+def _bucket() -> Column:
+    return F.shiftrightunsigned(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - BUCKET_BITS).cast("int")
+
+
+def counts(train: DataFrame, text: str = "text", hold: int = 1 << 20) -> DataFrame:
+    """(bucket, kind, key, n): exact counts of tokens and of pairs over all rows of train, rows of a bucket together.
 
     A task sums what it meets and passes it on whenever it holds more than ``hold`` counts of a kind.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[int, list] = {k: [] for k in range(TOKENS, order + 1)}
+        kept: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {TOKENS: [], PAIRS: []}
 
         def flush(kind: int, least: int) -> Iterator[pd.DataFrame]:
-            if sum(len(k) for _, k, _ in kept[kind]) > least:
+            if sum(len(k) for k, _ in kept[kind]) > least:
                 kept[kind] = [_summed(kept[kind])]
-                if len(kept[kind][0][1]) > least // 2:
-                    context, keys, n = kept[kind].pop()
+                if len(kept[kind][0][0]) > least // 2:
+                    keys, n = kept[kind].pop()
                     for lo in range(0, len(keys), 1 << 17):
-                        part = slice(lo, lo + (1 << 17))
-                        yield pd.DataFrame({"kind": np.int32(kind), "context": context[part].view(np.int64), "key": keys[part].view(np.int64), "n": n[part]})
+                        yield pd.DataFrame({"kind": np.int32(kind), "key": keys[lo : lo + (1 << 17)].view(np.int64), "n": n[lo : lo + (1 << 17)]})
 
         for pdf in batches:
             raw = [textnum.encode(t) for t in pdf["text"]]
             for lo, hi in textnum.blocks(raw):
                 tokens, owner = tokens_of(raw[lo:hi])
-                one = np.ones(len(tokens), np.int64)
-                for kind, (context, key) in enumerate([(np.zeros_like(tokens), tokens), *grams(tokens, owner, order)], TOKENS):
-                    kept[kind].append(_summed([(context, key, one)]))
+                for kind, keys in ((TOKENS, tokens), (PAIRS, pairs_of(tokens, owner)[1])):
+                    kept[kind].append(np.unique(keys, return_counts=True))
                     yield from flush(kind, hold)
         for kind in kept:
             yield from flush(kind, 0)
 
-    return train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, context long, key long, n long").groupBy("kind", "context", "key").agg(F.sum("n").alias("n"))
+    summed = train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, key long, n long")
+    return summed.withColumn("bucket", _bucket()).repartition("bucket").groupBy("bucket", "kind", "key").agg(F.sum("n").alias("n"))
 
 
 def first_probes(distinct: int) -> int:
-    """Probes of an n-gram's first entry, at which the false positives of ``distinct`` words are under 0.3."""
+    """Probes of a pair's first entry, at which the false positives of ``distinct`` words are under 0.3."""
     return max(PROBES, int(4 * distinct).bit_length())
 
 
@@ -122,7 +122,7 @@ class LogFrequencyFilter:
     """Chains of entries in blocks of 64 KB, each made in one task."""
 
     def __init__(self, blocks: np.ndarray, first: int, fill: float):
-        """first: probes of the first entry of an n-gram; fill: the share of bits that are set."""
+        """first: probes of the first entry of a pair; fill: the share of bits that are set."""
         self.blocks, self.first, self.fill = blocks, first, fill
 
     @staticmethod
@@ -168,58 +168,57 @@ class LogFrequencyFilter:
 class Model:
     """A filter, the slices that it serves, and how many false positives are to be expected after a context."""
 
-    def __init__(self, lm: LogFrequencyFilter | None, slices: np.ndarray, number: int, distinct: int, order: int = ORDER):
+    def __init__(self, lm: LogFrequencyFilter | None, slices: np.ndarray, number: int, distinct: int, spread: float = SPREAD):
         """slices: the filter's number of each slice; distinct: how many different words training has."""
-        self.lm, self.slices, self.number, self.order = lm, slices, number, order
+        self.lm, self.slices, self.number, self.spread = lm, slices, number, spread
         self.false = distinct * lm.fill**lm.first if lm else 0.0
 
-    def of_contexts(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """S and T of contexts; 0 and 1 for those not met."""
+    def of_contexts(self, key: np.ndarray) -> np.ndarray:
+        """S of contexts; 0 for those not met."""
         s = self.lm.chain(key, S)
         total, live = np.where(s > 0, 2.0 ** (s - 1), 0), np.flatnonzero(s > 1)
         for digit in range(DIGITS):
             total[live] += np.where(self.lm.holds(key[live], DIGIT + digit), 2.0 ** (s[live] - 2 - digit), 0)
-        follow = np.ones(len(key))
-        follow[live] = 2.0 ** self.lm.chain(key[live], T)
-        return total, follow
+        return total
 
     def back_off(self, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of what n-grams give each token, 0 for tokens of other filters, and which tokens of this one are left to the unigram."""
+        """log10 of what pairs give each token, 0 for tokens of other filters, and which tokens of this one are left to the unigram."""
         out, left = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
-        keys = list(grams(tokens, owner, self.order))
-        live = np.flatnonzero(self.slices[(keys[0][0] >> np.uint64(48)).astype(np.int64)] == self.number)
-        for context, gram in reversed(keys if self.lm else []):
-            contexts, of = np.unique(context[live], return_inverse=True)
-            total, follow = (x[of] for x in self.of_contexts(contexts))
-            met = np.flatnonzero(total > 0)
-            wanted, of = np.unique(gram[live[met]], return_inverse=True)
-            levels = self.lm.chain(wanted, Q)[of]
-            total, follow = total[met], follow[met]
-            q = np.where(levels > 0, 2.0 ** (levels - 1), 0)
-            q = np.minimum(q, total)  # no more than S, whatever the filter adds falsely
-            out[live[met]] += np.log10(np.where(q > 0, q, follow) / (total + follow + self.false))
-            done = np.zeros(len(live), bool)
-            done[met] = q > 0
-            live = live[~done]
+        context, pair = pairs_of(tokens, owner)
+        live = np.flatnonzero(self.slices[(context >> np.uint64(48)).astype(np.int64)] == self.number)
         left[live] = True
+        if not self.lm or not len(live):
+            return out, left
+        contexts, of = np.unique(context[live], return_inverse=True)
+        total = self.of_contexts(contexts)[of]
+        live, total = live[total > 0], total[total > 0]
+        wanted, of = np.unique(pair[live], return_inverse=True)
+        levels = self.lm.chain(wanted, Q)[of]
+        q = np.minimum(np.where(levels > 0, 2.0 ** (levels - 1), 0), total)  # no more than S, whatever the filter adds falsely
+        follow = total**self.spread
+        out[live] = np.log10(np.where(q > 0, q, follow) / (total + follow + self.false))
+        left[live] = q == 0
         return out, left
 
 
 def entries(counted: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """(slice, key, tag, upto) rows of chains and digits of all n-grams and their contexts."""
-    slice_of = F.shiftrightunsigned("context", 48).cast("int").alias("slice")
+    """(slice, key, tag, upto) rows of chains and digits of all pairs and contexts."""
+
+    @F.pandas_udf("long")
+    def context_key(token: pd.Series) -> pd.Series:
+        return pd.Series(textnum.mix(token.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+
+    slice_of = F.shiftrightunsigned("key", 48).cast("int").alias("slice")
     q = (F.floor(F.log2(F.col("n").cast("double"))) + 1).cast("int")
-    held = counted.where(F.col("kind") > TOKENS).select("context", "key", q.alias("q"))
-    context = held.groupBy("context").agg(F.sum(F.pow(F.lit(2.0), F.col("q") - 1)).alias("s"), F.count("*").alias("t"))
+    pairs = counted.where(F.col("kind") == PAIRS).select(slice_of, "key", F.lit(Q).alias("tag"), q.alias("upto"))
     # S as first digit and parts of it above, rounded up; what rounds to the whole is the next first digit.
-    context = context.withColumn("lead", F.floor(F.log2("s")).cast("int"))
-    context = context.withColumn("parts", F.when(F.col("lead") > 0, F.ceil((F.col("s") / F.pow(F.lit(2.0), "lead") - 1) * (1 << DIGITS)).cast("int")).otherwise(F.lit(0)))
+    context = counted.where(F.col("kind") == TOKENS).select(context_key("key").alias("key"), "n", F.floor(F.log2("n")).cast("int").alias("lead"))
+    context = context.withColumn("parts", F.when(F.col("lead") > 0, F.ceil((F.col("n") / F.pow(F.lit(2.0), "lead") - 1) * (1 << DIGITS)).cast("int")).otherwise(F.lit(0)))
     context = context.withColumns({"lead": F.when(F.col("parts") == 1 << DIGITS, F.col("lead") + 1).otherwise(F.col("lead")), "parts": F.col("parts") % (1 << DIGITS)})
-    context = scratch.table(context.select("context", "t", "lead", "parts"), "contexts")
     digit = lambda i: F.struct(F.lit(DIGIT + i - 1).alias("tag"), F.when(F.col("parts").bitwiseAND(F.lit(1 << (DIGITS - 1 - i))) != 0, 1).otherwise(0).alias("upto"))
-    chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), F.struct(F.lit(T).alias("tag"), F.floor(F.log2("t")).cast("int").alias("upto")), *map(digit, range(DIGITS)))
-    of_context = context.select(slice_of, F.col("context").alias("key"), F.explode(chains).alias("x")).select("slice", "key", "x.*").where("upto > 0")
-    return held.select(slice_of, "key", F.lit(Q).alias("tag"), F.col("q").alias("upto")).unionAll(of_context)
+    chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), *map(digit, range(DIGITS)))
+    of_context = context.select(slice_of, "key", F.explode(chains).alias("x")).select("slice", "key", "x.*").where("upto > 0")
+    return pairs.unionAll(scratch.table(of_context.withColumn("bucket", _bucket()).repartition("bucket").drop("bucket"), "contexts"))
 
 
 def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilter:
@@ -227,28 +226,43 @@ def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilte
     n_blocks = max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows come by bucket, so that a task meets its share of the blocks; it sets bits whenever it holds a million rows."""
         made: dict[int, np.ndarray] = {}
+        held: list[pd.DataFrame] = []
+
+        def put() -> None:
+            rows = pd.concat(held)
+            held.clear()
+            key, tag, upto = rows["key"].to_numpy(np.int64).view(np.uint64), rows["tag"].to_numpy(np.int64), rows["upto"].to_numpy(np.int64)
+            block = ((key & np.uint64(0xFFFFFFFF)) * np.uint64(n_blocks)) >> np.uint64(32)
+            order = np.argsort(block, kind="stable")
+            key, tag, upto, block = key[order], tag[order], upto[order], block[order]
+            cut = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                bits = np.zeros(1 << BLOCK_BITS, bool)
+                for lv in range(1, int(upto[a:b].max()) + 1):
+                    head = (tag[a:b] == Q) & (lv == 1)
+                    for which, probes in ((head, first), (~head & (upto[a:b] >= lv), PROBES)):
+                        for place in LogFrequencyFilter.places(key[a:b][which], tag[a:b][which] + lv, probes):
+                            bits[place.astype(np.int64)] = True
+                packed_bits = np.packbits(bits, bitorder="little")
+                of = int(block[a])
+                made[of] = made[of] | packed_bits if of in made else packed_bits
+
+        rows_held = 0
         for pdf in batches:
-            key, tag, upto, block = pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["tag"].to_numpy(np.int64), pdf["upto"].to_numpy(np.int64), pdf["block"].to_numpy(np.int64)
-            for lv in range(1, int(upto.max(initial=0)) + 1):
-                for one in (True, False):
-                    live = np.flatnonzero((upto >= lv) & (((tag == Q) & (lv == 1)) == one))
-                    live = live[np.argsort(block[live], kind="stable")]
-                    if not len(live):
-                        continue
-                    of = block[live]
-                    cut = np.flatnonzero(np.r_[True, of[1:] != of[:-1], True])
-                    for place in LogFrequencyFilter.places(key[live], tag[live] + lv, first if one else PROBES):
-                        for a, b in zip(cut[:-1], cut[1:], strict=True):
-                            target = made.setdefault(int(of[a]), np.zeros(1 << BLOCK_BITS - 3, np.uint8))
-                            at = place[a:b]
-                            np.bitwise_or.at(target, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+            held.append(pdf)
+            rows_held += len(pdf)
+            if rows_held >= 1 << 20:
+                put()
+                rows_held = 0
+        if rows_held:
+            put()
         for b, array in made.items():
             yield pd.DataFrame({"block": [b], "data": [array.tobytes()]})
 
-    block = F.shiftrightunsigned(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)) * F.lit(n_blocks), 32).cast("int")
     blocks = np.zeros((n_blocks, 1 << BLOCK_BITS - 3), np.uint8)
-    got = held.select("key", "tag", "upto", block.alias("block")).repartition("block").mapInPandas(make, "block int, data binary").toPandas()
+    got = held.select("key", "tag", "upto").mapInPandas(make, "block int, data binary").toPandas()
     for b, data in zip(got["block"], got["data"], strict=True):
         blocks[b] |= np.frombuffer(data, np.uint8)
     fill = np.mean([np.unpackbits(b).mean() for b in blocks[:64]])
@@ -267,11 +281,11 @@ def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tu
     return of, filters
 
 
-def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER, frequent: int = 1 << 18, filter_bytes: int = 1 << 27) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, frequent: int = 1 << 18, filter_bytes: int = 1 << 27) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
-        counted = scratch.table(counts(docs.where(train), text, order), "counts")
+        counted = scratch.table(counts(docs.where(train), text), "counts")
         tokens = counted.where(F.col("kind") == TOKENS).select("key", "n")
         whole = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
         total, distinct = whole["n"], whole["v"]
@@ -286,7 +300,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
         words = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), np.log10(common_["n"].to_numpy(np.int64) + 0.1)))
 
         def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """Of each row: what the frequent tokens give, what n-grams of this filter give, and the rare tokens' keys, those left to the unigram apart."""
+            """Of each row: what the frequent tokens give, what pairs of this filter give, and the rare tokens' keys, those left to the unigram apart."""
             keys, logs = words.value
             for pdf in batches:
                 raw = [textnum.encode(t) for t in pdf["text"]]
@@ -326,7 +340,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", order: int = ORDER
             if filters:
                 low, high, n = filters[number]
                 lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n, first)
-            held = spark.sparkContext.broadcast(Model(lm, slices, number, distinct, order))
+            held = spark.sparkContext.broadcast(Model(lm, slices, number, distinct, spread))
             out = rows.mapInPandas(measure, columns)
             passes.append(scratch.table(out if number == 0 else out.select("row", "score", "rare_left"), f"pass{number}"))
             held.destroy()
