@@ -110,7 +110,7 @@ def counts(train: DataFrame, text: str = "text", hold: int = 1 << 20) -> DataFra
             yield from flush(kind, 0)
 
     summed = train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, key long, n long")
-    return summed.withColumn("bucket", _bucket()).repartition("bucket").groupBy("bucket", "kind", "key").agg(F.sum("n").alias("n"))
+    return summed.withColumn("bucket", _bucket()).repartition("bucket").groupBy("bucket", "kind", "key").agg(F.sum("n").alias("n")).sortWithinPartitions("bucket")
 
 
 def first_probes(distinct: int) -> int:
@@ -218,10 +218,10 @@ def entries(counted: DataFrame, scratch: common.Scratch) -> DataFrame:
     digit = lambda i: F.struct(F.lit(DIGIT + i - 1).alias("tag"), F.when(F.col("parts").bitwiseAND(F.lit(1 << (DIGITS - 1 - i))) != 0, 1).otherwise(0).alias("upto"))
     chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), *map(digit, range(DIGITS)))
     of_context = context.select(slice_of, "key", F.explode(chains).alias("x")).select("slice", "key", "x.*").where("upto > 0")
-    return pairs.unionAll(scratch.table(of_context.withColumn("bucket", _bucket()).repartition("bucket").drop("bucket"), "contexts"))
+    return pairs.unionAll(scratch.table(of_context.withColumn("bucket", _bucket()).repartition("bucket").sortWithinPartitions("bucket").drop("bucket"), "contexts"))
 
 
-def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilter:
+def make_filter(held: DataFrame, n_probes: int, first: int, scratch: common.Scratch) -> LogFrequencyFilter:
     """The filter of entries, whose blocks are made on the executors; about half of its bits are set."""
     n_blocks = max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
 
@@ -262,9 +262,10 @@ def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilte
             yield pd.DataFrame({"block": [b], "data": [array.tobytes()]})
 
     blocks = np.zeros((n_blocks, 1 << BLOCK_BITS - 3), np.uint8)
-    got = held.select("key", "tag", "upto").mapInPandas(make, "block int, data binary").toPandas()
-    for b, data in zip(got["block"], got["data"], strict=True):
-        blocks[b] |= np.frombuffer(data, np.uint8)
+    got = scratch.table(held.select("key", "tag", "upto").mapInPandas(make, "block int, data binary"), "blocks")
+    for r in got.toLocalIterator():  # the driver holds a partition beside the filter
+        blocks[r["block"]] |= np.frombuffer(r["data"], np.uint8)
+    scratch.drop("blocks")
     fill = np.mean([np.unpackbits(b).mean() for b in blocks[:64]])
     return LogFrequencyFilter(blocks, first, float(fill))
 
@@ -281,7 +282,7 @@ def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tu
     return of, filters
 
 
-def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, frequent: int = 1 << 18, filter_bytes: int = 1 << 27) -> DataFrame:
+def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, frequent: int = 1 << 18, filter_bytes: int = 5 << 24) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
@@ -339,7 +340,7 @@ def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SP
             lm = None
             if filters:
                 low, high, n = filters[number]
-                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n, first)
+                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n, first, scratch)
             held = spark.sparkContext.broadcast(Model(lm, slices, number, distinct, spread))
             out = rows.mapInPandas(measure, columns)
             passes.append(scratch.table(out if number == 0 else out.select("row", "score", "rare_left"), f"pass{number}"))

@@ -78,7 +78,7 @@ def test_probabilities_of_next_words_sum_to_one_or_less(spark):
         first = lm_score.first_probes(len(one))
         held = lm_score.entries(counted, scratch)
         probes = held.agg(F.sum(F.when(F.col("tag") == 0, first + lm_score.PROBES * (F.col("upto") - 1)).otherwise(lm_score.PROBES * F.col("upto")))).first()[0]
-        model = lm_score.Model(lm_score.make_filter(held, probes, first), np.zeros(1 << 16, np.int64), 0, len(one))
+        model = lm_score.Model(lm_score.make_filter(held, probes, first, scratch), np.zeros(1 << 16, np.int64), 0, len(one))
     assert model.false < 0.5
     hashes = lm_score.tokens_of([b" ".join(words)])[0]  # the end token is the last
     prior = np.array([one[h] + 0.1 for h in hashes.view(np.int64)])
