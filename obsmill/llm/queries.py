@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import bpe, common, html_extract, language_id, lm_score, media, mixing, quality_classifier, quality_rules, resharding, simhash
+from obsmill.llm import alignment, bpe, common, html_extract, language_id, lm_score, media, mixing, neighbours, quality_classifier, quality_rules, resharding, simhash, vector_codes
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +73,26 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (common.fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors.select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = common.table(spark, sf_dir, "documents")
+    model = alignment.aligner(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align(docs.select("doc_id", "text"), model)[0]
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings")
+    coded, books = vector_codes.compress(vectors.select("vec_id", "embedding", "label"))
+    out = vector_codes.label_errors(coded)
+    return out.select(F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
