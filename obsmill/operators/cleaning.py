@@ -150,6 +150,14 @@ def flattened(df: DataFrame, identifiers: list[str], keep: list[str]) -> DataFra
     return df.select(*keep, *[field(path).alias(name) for name, path in made])
 
 
+def with_usability(df: DataFrame, fixed_count: int | None = None) -> DataFrame:
+    """df with whether a row has any usable metric, how many and which fraction of its verdict columns (or of ``fixed_count``)."""
+    passes = [F.col(c) for c in df.columns if c.endswith("__qc_pass")]
+    n = sum((F.coalesce(p, F.lit(False)).cast("int") for p in passes), F.lit(0))
+    share = n / F.lit(fixed_count or len(passes)) if passes else F.lit(0.0)
+    return df.withColumns({"row_has_any_usable_metric": n > 0, "usable_metric_count": n, "usable_metric_fraction": share.cast("double")})
+
+
 def clean(df: DataFrame, strict: bool = True, keep_raw: bool = False, fixed_count: int | None = None) -> DataFrame:
     """A raw table cleaned: every coded column decoded under readable names, control flags, usability of rows.
 
@@ -166,10 +174,7 @@ def clean(df: DataFrame, strict: bool = True, keep_raw: bool = False, fixed_coun
     keep = [c for c in df.columns if keep_raw or c not in coded]
     if coded:
         df = flattened(d.decode_all(df, coded, strict), coded, keep)
-    passes = [F.col(c) for c in df.columns if c.endswith("__qc_pass")]
-    n = sum((F.coalesce(p, F.lit(False)).cast("int") for p in passes), F.lit(0))
-    share = n / F.lit(fixed_count or len(passes)) if passes else F.lit(0.0)
-    return df.withColumns({"row_has_any_usable_metric": n > 0, "usable_metric_count": n, "usable_metric_fraction": share.cast("double")})
+    return with_usability(df, fixed_count)
 
 
 def clean_or_permit(df: DataFrame, probe: int = 200) -> tuple[DataFrame, bool]:

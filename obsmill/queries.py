@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from obsmill.functions import decode as d
 from obsmill.functions.units import add_units
-from obsmill.operators import climate, fleet, quality
+from obsmill.operators import climate, fleet, gaps, quality
 from obsmill.plans.rules import MANDATORY_QUALITY, resolve
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -274,7 +274,7 @@ def reasons(spark, sf_dir):
  k as (select *, row_number() over (partition by STATION order by length desc, run) as n from r) select STATION, length, b as begin, e as "end", round(date_diff('second', date_trunc('second', b), date_trunc('second', e)) / 3600.0, 9) as hours from k where n = 1""")
 def missing_runs(spark, sf_dir):
     df = with_tmp(obs(spark, sf_dir))
-    return rounded(quality.longest_missing_run(df, "t"), "hours")
+    return rounded(gaps.longest_missing_run(df, "t"), "hours")
 
 
 @query("W02_inventory", """with r as (select doc_id, source, n_chars, row_number() over (partition by source order by n_chars, doc_id) as rank, count(*) over (partition by source) as n from documents)
