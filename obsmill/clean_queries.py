@@ -196,6 +196,48 @@ def strict_losses(spark, sf_dir):
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("temperature_c").isNull() & F.col("loose").isNotNull()).alias("newly_null"))
 
 
+#: Cells with as many tokens as their families have, too few, too many, and the value alone.
+CELLS = """select event_id as obs_id, cast(cast(20240101 + event_id % 28 as int) as {text}) as DATE, case event_id % 4 when 1 then '010000,1,N' when 2 then '010000,1,N,1,9' when 3 then '010000' else '010000,1,N,1' end as VIS,
+ case event_id % 4 when 1 then '10132,1' when 2 then '10132,1,09876,1,5' when 3 then '10132' else '10132,1,09876,1' end as MA1, case event_id % 4 when 1 then '015,0123' when 2 then '015,0123,1,051010,1,7' when 3 then '015' else '015,0123,1,051010,1' end as AH1,
+ case event_id % 4 when 1 then '+0180' when 2 then '+0180,1,7' when 3 then '+180,1' else '+0180,1' end as TMP from {events}"""
+
+
+def cells(spark, sf_dir):
+    return spark.sql(CELLS.format(text="string", events="{events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+@query("V16_short_and_long", """with c as (select event_id as obs_id, event_id % 4 as k from events)
+ select obs_id, case when k = 0 then 10000.0::double end as vis_strict, 10000.0::double as vis, case when k in (0, 2) then 'N' when k = 1 then 'N' end as vis_code, case when k = 0 then 1013.2::double end as altimeter_strict, 1013.2::double as altimeter, case when k in (0, 2) then 987.6::double end as pressure,
+  case when k in (0, 2) then true end as pressure_pass, 15.0::double as period_strict, case when k <> 3 then 12.3::double end as depth_strict, case when k <> 3 then 12.3::double end as depth, k <> 0 as mismatch, case when k = 0 then 18.0::double end as temperature_strict, 18.0::double as temperature from c""")
+def short_and_long(spark, sf_dir):
+    df = cells(spark, sf_dir)
+    s = cleaning.clean(df).select("obs_id", *[F.col(c).alias(f"s_{c}") for c in ("visibility_m", "altimeter_setting_hpa", "AH1__part1", "AH1__part2", "temperature_c", "qc_arity_mismatch_AH1")])
+    x = cleaning.clean(df, strict=False).join(s, "obs_id")
+    value = lambda c: F.round(c, 6)
+    return x.select(
+        "obs_id", value("s_visibility_m").alias("vis_strict"), value("visibility_m").alias("vis"), F.col("visibility_variability").alias("vis_code"), value("s_altimeter_setting_hpa").alias("altimeter_strict"), value("altimeter_setting_hpa").alias("altimeter"),
+        value("station_pressure_hpa").alias("pressure"), F.col("MA1__part3__qc_pass").alias("pressure_pass"), value("s_AH1__part1").alias("period_strict"), value("s_AH1__part2").alias("depth_strict"), value("AH1__part2").alias("depth"),
+        F.col("s_qc_arity_mismatch_AH1").alias("mismatch"), value("s_temperature_c").alias("temperature_strict"), value("temperature_c").alias("temperature"))
+
+
+@query("V35_retry", "select obs_id, true as eight_digits, false as iso, false as unreadable, case when obs_id % 4 = 0 then 18.0::double end as temperature_strict, 18.0::double as temperature from (select event_id as obs_id from events)")
+def retry(spark, sf_dir):
+    """Cleaned strictly with dates of eight digits, permissively with ISO ones and where no date can be read."""
+    df = cells(spark, sf_dir)
+    made = {"eight_digits": df, "iso": df.withColumn("DATE", F.lit("2024-01-05T06:30:00")), "unreadable": df.withColumn("DATE", F.lit("soon"))}
+    out = {k: cleaning.clean_or_permit(x) for k, x in made.items()}
+    loose = out["unreadable"][0].select("obs_id", F.round("temperature_c", 6).alias("temperature"))
+    return out["eight_digits"][0].select("obs_id", *[F.lit(s).alias(k) for k, (_, s) in out.items()], F.round("temperature_c", 6).alias("temperature_strict")).join(loose, "obs_id")
+
+
+@query("J14_losses_by_field", """with n as (select count(*) as n, count(*) filter (event_id % 4 = 0) as k0, count(*) filter (event_id % 4 <> 3) as k3, count(*) filter (event_id % 4 in (0, 2)) as k2 from events)
+ select 'temperature_c' as field, n as n_permissive, n - k0 as newly_null, round((n - k0) / n, 9) as rate from n union all select 'visibility_m', n, n - k0, round((n - k0) / n, 9) from n union all select 'visibility_variability', k3, k3 - k0, round((k3 - k0) / k3, 9) from n
+ union all select 'altimeter_setting_hpa', n, n - k0, round((n - k0) / n, 9) from n union all select 'station_pressure_hpa', k2, k2 - k0, round((k2 - k0) / k2, 9) from n""")
+def losses_by_field(spark, sf_dir):
+    out = cleaning.strict_losses(cells(spark, sf_dir), ["TMP", "VIS", "MA1"])
+    return rounded(out.where(F.col("field").isin("temperature_c", "visibility_m", "visibility_variability", "altimeter_setting_hpa", "station_pressure_hpa")), "rate")
+
+
 @query("G47_impact_leaders", W_USE + " select STATION, n_lost from (select STATION, count(*) filter (n < 4) as n_lost from u group by STATION) order by n_lost desc, STATION limit 5")
 def impact_leaders(spark, sf_dir):
     return station_years(spark, sf_dir).groupBy("STATION").agg(F.sum("n_lost").alias("n_lost")).orderBy(F.desc("n_lost"), "STATION").limit(5)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from obsmill.functions import decode as d
 from obsmill.functions import records
 from obsmill.functions.identifiers import class_of
+from obsmill.operators.climate import text_times
 from obsmill.plans.rules import REPEATS, TABLES, resolve
 
 #: Control fields, their columns' positions in a record and the errors of a header.
@@ -146,14 +147,13 @@ def flattened(df: DataFrame, identifiers: list[str], keep: list[str]) -> DataFra
     twice = sorted(k for k, n in Counter([*keep, *(name for name, _ in made)]).items() if n > 1)
     if twice:
         raise ValueError(f"columns would have equal names: {', '.join(twice)}")
-    field = lambda path: reduce(lambda c, k: c[k], path[1:], F.col(path[0]))
-    return df.select(*keep, *[field(path).alias(name) for name, path in made])
+    return df.selectExpr(*[f"`{c}`" for c in keep], *[f"{'.'.join(f'`{k}`' for k in path)} as `{name}`" for name, path in made])
 
 
 def with_usability(df: DataFrame, fixed_count: int | None = None) -> DataFrame:
     """df with whether a row has any usable metric, how many and which fraction of its verdict columns (or of ``fixed_count``)."""
-    passes = [F.col(c) for c in df.columns if c.endswith("__qc_pass")]
-    n = sum((F.coalesce(p, F.lit(False)).cast("int") for p in passes), F.lit(0))
+    passes = [c for c in df.columns if c.endswith("__qc_pass")]
+    n = F.expr(" + ".join(["0", *[f"cast(coalesce(`{c}`, false) as int)" for c in passes]]))
     share = n / F.lit(fixed_count or len(passes)) if passes else F.lit(0.0)
     return df.withColumns({"row_has_any_usable_metric": n > 0, "usable_metric_count": n, "usable_metric_fraction": share.cast("double")})
 
@@ -177,10 +177,25 @@ def clean(df: DataFrame, strict: bool = True, keep_raw: bool = False, fixed_coun
     return with_usability(df, fixed_count)
 
 
-def clean_or_permit(df: DataFrame, probe: int = 200) -> tuple[DataFrame, bool]:
-    """The cleaned table and whether it was cleaned strictly: not where the first dates are ISO ones (with T or -)."""
-    iso = not df.where(F.col("DATE").isNotNull()).limit(probe).where(F.col("DATE").cast("string").rlike("[T-]")).isEmpty()
-    return clean(df, strict=not iso), not iso
+def clean_or_permit(df: DataFrame, probe: int = 10) -> tuple[DataFrame, bool]:
+    """The cleaned table and whether it was cleaned strictly: not where one of the first dates is an ISO one (with T or -),
+    nor where no row would be left, as none has a date that can be read.
+    """
+    strict = df.where(F.col("DATE").isNotNull()).limit(probe).where(F.col("DATE").cast("string").rlike("[T-]")).isEmpty()
+    if strict and not df.isEmpty():
+        strict = not text_times(df.select(*[c for c in ("DATE", "TIME") if c in df.columns])).isEmpty()
+    return clean(df, strict=strict), strict
+
+
+def strict_losses(df: DataFrame, identifiers: list[str]) -> DataFrame:
+    """(field, n_permissive, newly_null, rate): values that permissive decoding gives and strict decoding doesn't, in one pass over df."""
+    loose = {f"{x.lower()}_": f"{x.lower()}_permissive" for x in identifiers}
+    both = d.decode_all(d.decode_all(df.select(*identifiers), identifiers, strict=False).withColumnsRenamed(loose), identifiers)
+    fields = {name: path for x in identifiers for name, path in readable(x).items() if len(path) == 2 and not name.startswith("qc_") and not name.endswith(("__quality", "__direction_variable"))}
+    there = {name: F.col(loose[base])[field].isNotNull() for name, (base, field) in fields.items()}
+    counts = both.agg(*[F.struct(F.count_if(there[n]).alias("n_permissive"), F.count_if(there[n] & F.col(base)[field].isNull()).alias("newly_null")).alias(n) for n, (base, field) in fields.items()])
+    long = counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("field"), F.col(n)["n_permissive"].alias("n_permissive"), F.col(n)["newly_null"].alias("newly_null")) for n in fields])))
+    return long.withColumn("rate", F.when(F.col("n_permissive") > 0, F.col("newly_null") / F.col("n_permissive")).otherwise(F.lit(0.0)))
 
 
 def with_contract(df: DataFrame) -> DataFrame:
