@@ -7,7 +7,7 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters that separate words: space and the ASCII controls tab to carriage return.
@@ -106,13 +106,16 @@ def hash_below(most: int, n: int) -> int:
 
 
 def bounded_sample(df: DataFrame, by: str, most: int, seed: int = 17) -> DataFrame:
-    """About ``most`` rows of each value of ``by`` at the most, chosen by a hash of doc_id.
+    """Of each value of ``by`` the ``most`` rows with the least hashes (all, where there are no more), equal rows once.
 
-    The counts come from all rows; a value's rows are those whose 63-bit hash is below ``most`` parts in its
-    count, so about ``most`` of them come (all, where there are no more), whatever the input. Rows of one
-    doc_id come or stay away together.
+    The hash is of all columns, so that rows that share an id, or have none, are drawn one by one. Rows whose hash
+    can't be among the least are passed over by a bound from the (estimated) count of distinct rows, which leaves
+    about twice ``most`` rows of a value, whatever the input; these are put in order.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), id_text()), 1)
-    bounds = [F.when(F.col(by) == F.lit(k), draw <= F.lit(hash_below(most, n))) for k, n in counts.items() if k is not None]
-    return df.where(F.coalesce(*bounds, F.lit(False)))
+    others = [c for c in df.columns if c != by]
+    counts = {r[0]: r[1] for r in df.groupBy(by).agg(F.approx_count_distinct(F.xxhash64(*others))).collect()}
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *others), 1)
+    bounds = [F.when(F.col(by) == F.lit(k), draw <= F.lit(hash_below(2 * most + 64, n))) for k, n in counts.items() if k is not None]
+    mark, place = fresh(df, "draw"), fresh(df, "place")
+    near = df.where(F.coalesce(*bounds, F.lit(False))).distinct().withColumn(mark, draw)
+    return near.withColumn(place, F.row_number().over(Window.partitionBy(by).orderBy(mark, *others))).where(F.col(place) <= most).drop(mark, place)

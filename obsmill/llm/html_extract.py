@@ -352,7 +352,7 @@ def main_texts(pages: list[str | None], forest: Forest) -> list[str]:
 
 
 def fit(pages: DataFrame, page_id: str = "page_id", html_: str = "html", most: int = 300) -> Forest:
-    """Train on a bounded sample: about ``most`` whole pages at the most, chosen by a hash of their id."""
+    """Train on a bounded sample: ``most`` whole pages at the most, chosen by a hash of id and page."""
     rows = pages.select(F.col(page_id).alias("doc_id"), F.col(html_).alias("html"), F.lit(0).alias("all"))
     sample = common.bounded_sample(rows, "all", most)
 

@@ -103,7 +103,7 @@ class LanguageFilter:
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", per_language: int = 1500, least_share: float = 0.02, rival: float = 0.2) -> LanguageFilter | None:
-    """Learn the filter from a bounded sample: about ``per_language`` whole documents a language at the most.
+    """Learn the filter from a bounded sample: ``per_language`` whole documents a language at the most.
 
     An n-gram belongs to a language when ``least_share`` of the language's documents hold it, and its share
     is ``rival`` times that of the language where it is most common, or more. A document of average
@@ -138,7 +138,7 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", per_language:
 
 
 def identify(docs: DataFrame, model: LanguageFilter | None, text: str = "text") -> DataFrame:
-    """docs with lang_pred, lang_score and lang_coverage; every other column passes."""
+    """docs with lang_pred, lang_score and lang_coverage, in place of columns of these names; every other column passes."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, lang_score double, lang_coverage double")
@@ -148,8 +148,9 @@ def identify(docs: DataFrame, model: LanguageFilter | None, text: str = "text")
         names, score, coverage = held.value.predict(column.tolist())
         return pd.DataFrame({"lang_pred": names, "lang_score": score, "lang_coverage": coverage})
 
-    out = docs.withColumn("_language", predict(F.col(text)))
-    return out.select(*docs.columns, "_language.*")
+    place = common.fresh(docs, "language")
+    kept = [c for c in docs.columns if c not in ("lang_pred", "lang_score", "lang_coverage")]
+    return docs.select(*kept, predict(F.col(text)).alias(place)).select(*kept, f"{place}.*")
 
 
 def accepter(spark: SparkSession, model: LanguageFilter | None, least_coverage: float = 0.2):

@@ -98,7 +98,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], size: int = 16, epochs
 
 
 def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1000) -> Classifier:
-    """Fit on a bounded sample: about ``most`` whole documents of each label at the most, chosen by a hash of doc_id.
+    """Fit on a bounded sample: the documents of ``most`` ids of each label at the most, chosen by a hash.
 
     marks has doc_id and label. The sample is drawn from it, so that it, not the texts, is what is sent around;
     an id that several documents share stands for the greatest of their texts. What sampling changes in the
