@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from obsmill.functions import decode as d
@@ -220,17 +220,37 @@ def view(df: DataFrame, name: str) -> DataFrame | None:
     return df.select(*[c for c in KEYS if c in df.columns], *there) if there else None
 
 
+#: Fixed value: the version of the views' columns.
+VIEW_VERSION = "1"
+
+
+def _written(df: DataFrame, path: str, keys: list[str], partitions: list[str]) -> int:
+    """Rows written as Parquet in the order of keys; they are counted as they pass."""
+    counted = Observation()
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+    ordered.observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    return counted.get["n"]
+
+
 def write_views(df: DataFrame, folder: str) -> DataFrame:
-    """Each theme's view as Parquet by station, and the manifest: (domain, n_rows, columns, path)."""
+    """Each theme's view as Parquet by station in the order of the keys, and the manifest: (domain, n_rows, columns, path, schema_version)."""
     rows = []
     for name in VIEWS:
         made = view(df, name)
         if made is None:
             continue
         path = f"{folder}/{name}"
-        made.write.mode("overwrite").partitionBy("station_id").parquet(path)
-        rows.append((name, df.sparkSession.read.parquet(path).count(), made.columns, path))
-    return df.sparkSession.createDataFrame(rows, "domain string, n_rows long, columns array<string>, path string")
+        rows.append((name, _written(made, path, [c for c in KEYS if c in made.columns], ["station_id"]), made.columns, path, VIEW_VERSION))
+    return df.sparkSession.createDataFrame(rows, "domain string, n_rows long, columns array<string>, path string, schema_version string")
+
+
+def write_classes(df: DataFrame, folder: str) -> DataFrame:
+    """Each class's table as Parquet, and the manifest: (class, n_rows, columns, path)."""
+    rows = []
+    for name, made in split_by_class(df).items():
+        path = f"{folder}/{name}"
+        rows.append((name, _written(made, path, [c for c in ("station_id", "STATION", "DATE") if c in made.columns], []), made.columns, path))
+    return df.sparkSession.createDataFrame(rows, "class string, n_rows long, columns array<string>, path string")
 
 
 def split_by_class(df: DataFrame) -> dict[str, DataFrame]:

@@ -101,3 +101,23 @@ def test_views_and_contract(spark, tmp_path):
     assert cleaning.view(x, "remarks") is None
     assert set(cleaning.split_by_class(x)) >= {"temperature", "wind"}
     assert cleaning.clean(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("most", "seconds"), [(40, 15), (200, 40)])
+def test_wide_tables_are_planned_in_time(spark, most, seconds):
+    """Bounds with room for slow machines; as columns of the API the plans alone took minutes."""
+    import time
+
+    from obsmill.operators import cleaning
+    from obsmill.plans.rules import FAMILIES, PREFIXES, REPEATS, resolve
+
+    names, seen = [], set()
+    for x in [*FAMILIES, *[p + ("1" if p in REPEATS else "") for p in PREFIXES]]:
+        made = set(cleaning.readable(x)) if resolve(x) else seen
+        if made and not made & seen:
+            names.append(x)
+            seen |= made
+    df = spark.createDataFrame([("+0100,1",) * len(names[:most])], ", ".join(f"{n} string" for n in names[:most]))
+    began = time.time()
+    rows = cleaning.clean(df).collect()
+    assert len(rows) == 1 and time.time() - began < seconds
