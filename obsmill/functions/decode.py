@@ -7,8 +7,6 @@ states. A cell is so split once, however many parts and verdicts its family has.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,21 +73,6 @@ def check_domain(text: Column, part: Part) -> Column:
     return F.struct(F.when(~values & ~pattern, bare).alias("value"), values.alias("domain_invalid"), pattern.alias("pattern_mismatch"))
 
 
-def parameter_code_ok(identifier: str, text: Column) -> Column:
-    """Whether a parameter of element-quality data is known: element and two flags for N, else a listed or, for R, a monthly code."""
-    if identifier[0] == "N":
-        return (F.length(text) == 6) & F.substring(text, 1, 4).isin(*TABLES["eqd_element"]) & F.substring(text, 5, 1).isin(*EQD_FLAGS[0]) & F.substring(text, 6, 1).isin(*EQD_FLAGS[1])
-    upper = F.upper(text)
-    return upper.isin(*TABLES["eqd_legacy"]) | (upper.rlike(f"^{EQD_MONTHLY}$") if identifier[0] == "R" else F.lit(False))
-
-
-def verdict(state: Column) -> Column:
-    """struct(pass, status, reason) of a state."""
-    reason = reduce(lambda c, x: c.when(state == x[0], x[1]), list(REASONS.items())[1:], F.when(state == MALFORMED, REASONS[MALFORMED]))
-    status = F.when(state == MISSING, "MISSING").when(state.isin(MALFORMED, BAD, BEYOND), "INVALID").otherwise("PASS")
-    return F.struct((~state.isin(*REASONS)).alias("pass"), status.alias("status"), reason.alias("reason"))
-
-
 def _text(value: str) -> str:
     """A literal of SQL."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
