@@ -2,27 +2,24 @@
 
 The model predicts the lower-cased words (A-Z) of a text and its end token from the word before. Its unigrams are
 those of the base score, so that words never met in training are one class to both. Counts of pairs of words, over
-all training documents, are summed by Spark; the filter holds them quantised, each as a chain of entries that is
-probed until one is missing:
+all training documents, are summed by Spark and held quantised in the filter: a pair's count, rounded down to a
+power of two, as a chain of entries that is probed until one is missing.
 
-* of a pair, q: its count, rounded down to a power of two;
-* of a context (the word before), S: its count, which is that of the tokens after it, rounded up to four binary
-  digits after the first.
+A pair that is held as q, after a context (the word before) of S tokens, has the probability q / (S + T + E), where
+T = S ** ``spread`` stands for the different words that follow a context; for others of a context that was met the
+unigram counts, times T / (S + T + E). As S is no less than the sum of q, the probabilities of all next tokens sum
+to one or less; E is what the false positives of all distinct words are expected to add to q. The first entry of a
+pair's chain is probed so many more times, the larger the corpus is, that E stays small.
 
-T = S ** ``spread`` stands for the different words that follow a context. A pair that is held has the probability
-q / (S + T + E); for others of a context that was met the unigram counts, times T / (S + T + E). As S is no less than
-the sum of q, the probabilities of all next tokens sum to one or less; E is what the false positives of all distinct
-words are expected to add to q. The first entry of a pair's chain is probed so many more times, the more distinct
-words there are, that E stays under 0.3.
+A model that grows with its corpus can't be broadcast at every size, and passing it on filter by filter takes a
+pass over the texts for each. So the probes go to the filter: texts are cut into portions, and each portion asks
+once for each of its different words and pairs. Keys are dealt to slices by their hash, and all portions' questions
+about a slice meet in one group, which sums their training counts, builds the slice's filter of ``filter_bytes`` or
+less, probes it and answers: a word by its exact count, a pair by the length of its chain, one byte. Answers go
+back to the portions, whose token numbers were kept. So each text is read once, pairs move once and nothing but
+the totals passes through the driver. However frequent a word or pair is, it is one question of a portion.
 
-All entries that a token needs lie in one slice of the filter, which the word before chooses. Slices are packed
-into filters of ``filter_bytes`` or less by counts of their entries, and each filter is broadcast, probed by one
-pass over the texts and freed before the next. The model so grows with the corpus: no pair is left out at any
-size, and what is broadcast at once is bounded; passes grow with the filter, so ``filter_bytes`` is to be raised
-with the workers' memory. (A slice of its own that is larger than ``filter_bytes`` is a filter of that size.)
-
-Word counts are exact (by 64-bit hash). The ``frequent`` most common tokens are broadcast, a bounded table; the
-others' counts are joined with the documents' remaining tokens.
+Messages are as many as portions times slices; both bounds are to be raised with the workers' memory at large sizes.
 
 Defined results: null and empty text is the end token alone. Without training documents, N and V are 0, every
 token's probability is 0.1 / 0.1, and both scores are 0. Repeated rows and ids are each scored, null ids included;
@@ -32,10 +29,10 @@ an empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +41,13 @@ from obsmill.llm import common, textnum
 SPREAD = 0.8
 #: Hash of the end token, which also stands before a text; no word is hashed to it but by chance of 2 ** -64.
 END_HASH = np.uint64(1)
-TOKENS, PAIRS = 1, 2  # kinds of counts
-BUCKET_BITS = 12  # of a key's lower half: rows of neighbouring blocks are written together
 BLOCK_BITS = 19
 PROBES = 10  # of entries other than the first of a pair
-DIGITS = 4  # binary digits of S after the first
-#: Tags of entries: chains of q and S, and the digits of S.
-Q, S, DIGIT = 0, 64, 192
+LEAST_SLICES = 64
+RECORD, TOTALS = -1, -1  # the slice of a portion's own row, and the portion of a slice's totals
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-_LOW = np.uint64((1 << 48) - 1)
+_HALF = np.uint64(32)
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,295 +61,198 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], owner[order]
 
 
-def pairs_of(tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, pair) keys of all tokens. The upper 16 bits of both are their slice, by the word before."""
-    first = np.r_[True, owner[1:] != owner[:-1]]
-    context = textnum.mix(np.where(first, END_HASH, np.r_[END_HASH, tokens[:-1]]))
-    return context, (context & ~_LOW) | (textnum.mix(textnum.mix(context) + tokens) & _LOW)
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, which = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(which, np.concatenate([c for _, c in parts])).astype(np.int64)
-
+def pairs_of(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token (a place in the sorted ``words``) the place of the word before, and the pair's key."""
+    before = np.r_[0, tokens[:-1]]
+    before[np.cumsum(lengths) - lengths] = 0  # the end token's hash is the least
+    return before, textnum.mix(textnum.mix(words)[before] + words[tokens])
 
-def _bucket() -> Column:
-    return F.shiftrightunsigned(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - BUCKET_BITS).cast("int")
 
+def cuts(keys: np.ndarray, slices: int) -> np.ndarray:
+    """Where each slice begins and ends in sorted keys."""
+    return np.searchsorted(((keys >> _HALF) * np.uint64(slices)) >> _HALF, np.arange(slices + 1))
 
-def counts(train: DataFrame, text: str = "text", hold: int = 1 << 20) -> DataFrame:
-    """(bucket, kind, key, n): exact counts of tokens and of pairs over all rows of train, rows of a bucket together.
 
-    A task sums what it meets and passes it on whenever it holds more than ``hold`` counts of a kind.
-    """
+def short(keys: np.ndarray) -> bytes:
+    """48 bits of each key, which tell the pairs of a slice apart; the lower half, which chooses the block, comes first."""
+    value = ((keys & _LOW) << np.uint64(16)) | ((keys >> _HALF) & np.uint64(0xFFFF))
+    return value.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {TOKENS: [], PAIRS: []}
 
-        def flush(kind: int, least: int) -> Iterator[pd.DataFrame]:
-            if sum(len(k) for k, _ in kept[kind]) > least:
-                kept[kind] = [_summed(kept[kind])]
-                if len(kept[kind][0][0]) > least // 2:
-                    keys, n = kept[kind].pop()
-                    for lo in range(0, len(keys), 1 << 17):
-                        yield pd.DataFrame({"kind": np.int32(kind), "key": keys[lo : lo + (1 << 17)].view(np.int64), "n": n[lo : lo + (1 << 17)]})
+def long(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
 
-        for pdf in batches:
-            raw = [textnum.encode(t) for t in pdf["text"]]
-            for lo, hi in textnum.blocks(raw):
-                tokens, owner = tokens_of(raw[lo:hi])
-                for kind, keys in ((TOKENS, tokens), (PAIRS, pairs_of(tokens, owner)[1])):
-                    kept[kind].append(np.unique(keys, return_counts=True))
-                    yield from flush(kind, hold)
-        for kind in kept:
-            yield from flush(kind, 0)
-
-    summed = train.select(F.col(text).alias("text")).mapInPandas(count, "kind int, key long, n long")
-    return summed.withColumn("bucket", _bucket()).repartition("bucket").groupBy("bucket", "kind", "key").agg(F.sum("n").alias("n"))
 
-
-def first_probes(distinct: int) -> int:
-    """Probes of a pair's first entry, at which the false positives of ``distinct`` words are under 0.3."""
-    return max(PROBES, int(4 * distinct).bit_length())
+def first_probes(text_bytes: int) -> int:
+    """Probes of a pair's first entry: a different word in every 16 bytes of text, or fewer, make E one at most."""
+    return max(PROBES, (text_bytes >> 4).bit_length())
 
 
 class LogFrequencyFilter:
-    """Chains of entries in blocks of 64 KB, each made in one task."""
-
-    def __init__(self, blocks: np.ndarray, first: int, fill: float):
-        """first: probes of the first entry of a pair; fill: the share of bits that are set."""
-        self.blocks, self.first, self.fill = blocks, first, fill
-
-    @staticmethod
-    def walk(key: np.ndarray, tag: np.ndarray | int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where an entry's bits begin within the key's block, the first step, and by how much steps grow."""
-        h = textnum.mix(key + np.asarray(tag, np.uint64) * _GOLDEN)
-        return h, (h >> np.uint64(BLOCK_BITS)) | np.uint64(1), h >> np.uint64(2 * BLOCK_BITS)
-
-    @staticmethod
-    def places(key: np.ndarray, tag: np.ndarray | int, probes: int) -> Iterator[np.ndarray]:
-        """Bits within the key's block."""
-        h, step, growth = LogFrequencyFilter.walk(key, tag)
-        for _ in range(probes):
-            yield h & np.uint64((1 << BLOCK_BITS) - 1)
+    """Chains of entries in blocks of 64 KB; about half of the bits are set."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, first: int):
+        """keys: of 48 bits, each once; first: probes of the first entry of a chain."""
+        levels = np.frexp(counts)[1]
+        n_probes = first * len(keys) + PROBES * int((levels - 1).sum())
+        self.first, self.n_blocks = first, max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
+        bits = np.zeros(self.n_blocks << BLOCK_BITS, bool)
+        for level in range(1, int(levels.max(initial=0)) + 1):
+            of = keys[levels >= level]
+            for lo in range(0, len(of), 1 << 16):
+                for bit in self.places(of[lo : lo + (1 << 16)], level):
+                    bits[bit] = True
+        self.fill = float(bits.mean())
+        self.bits = np.packbits(bits, bitorder="little")
+
+    def walk(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The block's first bit, where an entry's bits begin within it, the first step, and by how much steps grow."""
+        block = ((keys >> np.uint64(16)) * np.uint64(self.n_blocks)) >> _HALF
+        h = textnum.mix(keys + np.array([level], np.uint64) * _GOLDEN)
+        return block << np.uint64(BLOCK_BITS), h, (h >> np.uint64(BLOCK_BITS)) | np.uint64(1), h >> np.uint64(2 * BLOCK_BITS)
+
+    def probes(self, level: int) -> int:
+        return self.first if level == 1 else PROBES
+
+    def places(self, keys: np.ndarray, level: int) -> Iterator[np.ndarray]:
+        base, h, step, growth = self.walk(keys, level)
+        for _ in range(self.probes(level)):
+            yield (base + (h & np.uint64((1 << BLOCK_BITS) - 1))).astype(np.int64)
             h, step = h + step, step + growth
 
-    def holds(self, key: np.ndarray, tag: int) -> np.ndarray:
-        flat, mask = self.blocks.reshape(-1), np.uint64((1 << BLOCK_BITS) - 1)
-        base = (((key & np.uint64(0xFFFFFFFF)) * np.uint64(len(self.blocks))) >> np.uint64(32)) << np.uint64(BLOCK_BITS)
-        h, step, growth = self.walk(key, tag)
-        live = np.arange(len(key))
-        for _ in range(self.first if tag == Q + 1 else PROBES):
+    def holds(self, keys: np.ndarray, level: int) -> np.ndarray:
+        mask, live = np.uint64((1 << BLOCK_BITS) - 1), np.arange(len(keys))
+        base, h, step, growth = self.walk(keys, level)
+        for _ in range(self.probes(level)):
             bit = base + (h & mask)
-            hit = (flat[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            hit = (self.bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             if not hit.all():
                 live, base, h, step, growth = live[hit], base[hit], h[hit], step[hit], growth[hit]
             h, step = h + step, step + growth
-        out = np.zeros(len(key), bool)
+        out = np.zeros(len(keys), bool)
         out[live] = True
         return out
 
-    def chain(self, key: np.ndarray, tag: int) -> np.ndarray:
+    def chain(self, keys: np.ndarray) -> np.ndarray:
         """How many entries of a chain are held from its first on; the one after the first missing isn't probed."""
-        out, live = np.zeros(len(key), np.int64), np.arange(len(key))
-        for level in range(1, 63):
-            live = live[self.holds(key[live], tag + level)]
-            if not len(live):
-                break
-            out[live] = level
+        out = np.zeros(len(keys), np.uint8)
+        for lo in range(0, len(keys), 1 << 16):
+            part = keys[lo : lo + (1 << 16)]
+            live = np.arange(len(part))
+            for level in range(1, 64):
+                live = live[self.holds(part[live], level)]
+                if not len(live):
+                    break
+                out[lo + live] = level
         return out
 
-
-class Model:
-    """A filter, the slices that it serves, and how many false positives are to be expected after a context."""
-
-    def __init__(self, lm: LogFrequencyFilter | None, slices: np.ndarray, number: int, distinct: int, spread: float = SPREAD):
-        """slices: the filter's number of each slice; distinct: how many different words training has."""
-        self.lm, self.slices, self.number, self.spread = lm, slices, number, spread
-        self.false = distinct * lm.fill**lm.first if lm else 0.0
-
-    def of_contexts(self, key: np.ndarray) -> np.ndarray:
-        """S of contexts; 0 for those not met."""
-        s = self.lm.chain(key, S)
-        total, live = np.where(s > 0, 2.0 ** (s - 1), 0), np.flatnonzero(s > 1)
-        for digit in range(DIGITS):
-            total[live] += np.where(self.lm.holds(key[live], DIGIT + digit), 2.0 ** (s[live] - 2 - digit), 0)
-        return total
-
-    def back_off(self, tokens: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of what pairs give each token, 0 for tokens of other filters, and which tokens of this one are left to the unigram."""
-        out, left = np.zeros(len(tokens)), np.zeros(len(tokens), bool)
-        context, pair = pairs_of(tokens, owner)
-        live = np.flatnonzero(self.slices[(context >> np.uint64(48)).astype(np.int64)] == self.number)
-        left[live] = True
-        if not self.lm or not len(live):
-            return out, left
-        contexts, of = np.unique(context[live], return_inverse=True)
-        total = self.of_contexts(contexts)[of]
-        live, total = live[total > 0], total[total > 0]
-        wanted, of = np.unique(pair[live], return_inverse=True)
-        levels = self.lm.chain(wanted, Q)[of]
-        q = np.minimum(np.where(levels > 0, 2.0 ** (levels - 1), 0), total)  # no more than S, whatever the filter adds falsely
-        follow = total**self.spread
-        out[live] = np.log10(np.where(q > 0, q, follow) / (total + follow + self.false))
-        left[live] = q == 0
-        return out, left
-
-
-def entries(counted: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """(slice, key, tag, upto) rows of chains and digits of all pairs and contexts."""
-
-    @F.pandas_udf("long")
-    def context_key(token: pd.Series) -> pd.Series:
-        return pd.Series(textnum.mix(token.to_numpy(np.int64).view(np.uint64)).view(np.int64))
-
-    slice_of = F.shiftrightunsigned("key", 48).cast("int").alias("slice")
-    q = (F.floor(F.log2(F.col("n").cast("double"))) + 1).cast("int")
-    pairs = counted.where(F.col("kind") == PAIRS).select(slice_of, "key", F.lit(Q).alias("tag"), q.alias("upto"))
-    # S as first digit and parts of it above, rounded up; what rounds to the whole is the next first digit.
-    context = counted.where(F.col("kind") == TOKENS).select(context_key("key").alias("key"), "n", F.floor(F.log2("n")).cast("int").alias("lead"))
-    context = context.withColumn("parts", F.when(F.col("lead") > 0, F.ceil((F.col("n") / F.pow(F.lit(2.0), "lead") - 1) * (1 << DIGITS)).cast("int")).otherwise(F.lit(0)))
-    context = context.withColumns({"lead": F.when(F.col("parts") == 1 << DIGITS, F.col("lead") + 1).otherwise(F.col("lead")), "parts": F.col("parts") % (1 << DIGITS)})
-    digit = lambda i: F.struct(F.lit(DIGIT + i - 1).alias("tag"), F.when(F.col("parts").bitwiseAND(F.lit(1 << (DIGITS - 1 - i))) != 0, 1).otherwise(0).alias("upto"))
-    chains = F.array(F.struct(F.lit(S).alias("tag"), (F.col("lead") + 1).alias("upto")), *map(digit, range(DIGITS)))
-    of_context = context.select(slice_of, "key", F.explode(chains).alias("x")).select("slice", "key", "x.*").where("upto > 0")
-    return pairs.unionAll(scratch.table(of_context.withColumn("bucket", _bucket()).repartition("bucket").drop("bucket"), "contexts"))
-
-
-def make_filter(held: DataFrame, n_probes: int, first: int) -> LogFrequencyFilter:
-    """The filter of entries, whose blocks are made on the executors; about half of its bits are set."""
-    n_blocks = max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
-
-    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come by bucket, so that a task meets its share of the blocks; it sets bits whenever it holds a million rows."""
-        made: dict[int, np.ndarray] = {}
-        held: list[pd.DataFrame] = []
-
-        def put() -> None:
-            rows = pd.concat(held)
-            held.clear()
-            key, tag, upto = rows["key"].to_numpy(np.int64).view(np.uint64), rows["tag"].to_numpy(np.int64), rows["upto"].to_numpy(np.int64)
-            block = ((key & np.uint64(0xFFFFFFFF)) * np.uint64(n_blocks)) >> np.uint64(32)
-            order = np.argsort(block, kind="stable")
-            key, tag, upto, block = key[order], tag[order], upto[order], block[order]
-            cut = np.flatnonzero(np.r_[True, block[1:] != block[:-1], True])
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                bits = np.zeros(1 << BLOCK_BITS, bool)
-                for lv in range(1, int(upto[a:b].max()) + 1):
-                    head = (tag[a:b] == Q) & (lv == 1)
-                    for which, probes in ((head, first), (~head & (upto[a:b] >= lv), PROBES)):
-                        for place in LogFrequencyFilter.places(key[a:b][which], tag[a:b][which] + lv, probes):
-                            bits[place.astype(np.int64)] = True
-                packed_bits = np.packbits(bits, bitorder="little")
-                of = int(block[a])
-                made[of] = made[of] | packed_bits if of in made else packed_bits
-
-        rows_held = 0
+    def false_share(self) -> float:
+        """The share of pairs not held that seem to be."""
+        return self.fill**self.first
+
+
+def logs(count: np.ndarray, tokens: np.ndarray, before: np.ndarray, levels: np.ndarray, norm: float, false: float, spread: float) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of each token's probability by its unigram and by the model, from counts of words and the tokens' chains."""
+    base = (np.log10(count + 0.1) - norm)[tokens]
+    total = count.astype(np.float64)[before]
+    met, follow = total > 0, total**spread
+    q = np.minimum(np.where(levels > 0, 2.0 ** (levels.astype(np.int64) - 1), 0), total)  # no more than S, whatever the filter adds falsely
+    whole = np.where(met, total + follow + false, 1.0)
+    backed = np.log10(np.where(met, np.where(q > 0, q, follow), 1.0) / whole)
+    return base, np.where(q > 0, backed, backed + base)
+
+
+def dealt(docs: DataFrame, slices: int, portion_bytes: int) -> DataFrame:
+    """Of rows (doc_id, text, train): each portion's own row (ids, tokens of each text, words, token numbers) and its questions to the slices."""
+
+    def portion(number: int, ids: list, raw: list[bytes], train: list[bool]) -> pd.DataFrame:
+        hashes, lengths = [], []
+        for lo, hi in textnum.blocks(raw):
+            h, owner = tokens_of(raw[lo:hi])
+            hashes.append(h)
+            lengths.append(np.bincount(owner, minlength=hi - lo))
+        n = np.concatenate(lengths)
+        words, tokens = np.unique(np.concatenate(hashes), return_inverse=True)
+        learned = np.repeat(np.array(train, bool), n)
+        pairs, of = np.unique(pairs_of(words, tokens, n)[1], return_inverse=True)
+        word_n, pair_n = np.bincount(tokens[learned], minlength=len(words)).astype(np.int32), np.bincount(of[learned], minlength=len(pairs)).astype(np.int32)
+        rows = [(number, RECORD, ids, n.astype(np.int32).tobytes(), tokens.astype(np.int32).tobytes(), words.tobytes(), None, None, None)]
+        at, pair_at = cuts(words, slices), cuts(pairs, slices)
+        for k in np.flatnonzero((np.diff(at) > 0) | (np.diff(pair_at) > 0)):
+            w, p = slice(at[k], at[k + 1]), slice(pair_at[k], pair_at[k + 1])
+            rows.append((number, int(k), None, None, None, words[w].tobytes(), word_n[w].tobytes(), short(pairs[p]), pair_n[p].tobytes()))
+        return pd.DataFrame(rows, columns=["portion", "slice", "ids", "lengths", "tokens", "words", "word_n", "pairs", "pair_n"])
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, size, held = TaskContext.get().partitionId() << 32, 0, ([], [], [])
         for pdf in batches:
-            held.append(pdf)
-            rows_held += len(pdf)
-            if rows_held >= 1 << 20:
-                put()
-                rows_held = 0
-        if rows_held:
-            put()
-        for b, array in made.items():
-            yield pd.DataFrame({"block": [b], "data": [array.tobytes()]})
-
-    blocks = np.zeros((n_blocks, 1 << BLOCK_BITS - 3), np.uint8)
-    got = held.select("key", "tag", "upto").mapInPandas(make, "block int, data binary").toPandas()
-    for b, data in zip(got["block"], got["data"], strict=True):
-        blocks[b] |= np.frombuffer(data, np.uint8)
-    fill = np.mean([np.unpackbits(b).mean() for b in blocks[:64]])
-    return LogFrequencyFilter(blocks, first, float(fill))
-
-
-def packed(sizes: list[tuple[int, int]], room: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """The filter of each slice, and each filter's (first slice, last slice, size), from (slice, size)."""
-    of, filters = np.zeros(1 << 16, np.int64), []
-    for number, n in sorted(sizes):
-        if filters and filters[-1][2] + n <= room:
-            filters[-1] = (filters[-1][0], number, filters[-1][2] + n)
-        else:
-            filters.append((number, number, n))
-        of[number] = len(filters) - 1
-    return of, filters
-
-
-def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, frequent: int = 1 << 18, filter_bytes: int = 1 << 27) -> DataFrame:
+            for doc_id, text, train in zip(pdf["doc_id"], pdf["text"], pdf["train"], strict=True):
+                raw = textnum.encode(text)
+                for kept, x in zip(held, (doc_id, raw, train), strict=True):
+                    kept.append(x)
+                size += len(raw) + 8
+                if size >= portion_bytes:
+                    yield portion(number, *held)
+                    number, size, held = number + 1, 0, ([], [], [])
+        if size:
+            yield portion(number, *held)
+
+    columns = "portion long, slice int, ids array<string>, lengths binary, tokens binary, words binary, word_n binary, pairs binary, pair_n binary"
+    return docs.mapInPandas(deal, columns)
+
+
+def answers(questions: DataFrame, first: int) -> DataFrame:
+    """(portion, slice, word_n, levels) of questions, and of each slice (TOTALS, slice) with its counts' sum, its different words and its false share."""
+
+    def answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        words, which = np.unique(np.frombuffer(b"".join(pdf["words"]), np.uint64), return_inverse=True)
+        total = np.bincount(which, np.frombuffer(b"".join(pdf["word_n"]), np.int32), len(words)).astype(np.int64)
+        pairs, pair = np.unique(long(b"".join(pdf["pairs"])), return_inverse=True)
+        pair_total = np.bincount(pair, np.frombuffer(b"".join(pdf["pair_n"]), np.int32), len(pairs)).astype(np.int64)
+        held = LogFrequencyFilter(pairs[pair_total > 0], pair_total[pair_total > 0], first)
+        word_at, pair_at = np.cumsum(pdf["words"].str.len() // 8)[:-1], np.cumsum(pdf["pairs"].str.len() // 6)[:-1]
+        out = pd.DataFrame({
+            "portion": pdf["portion"].to_numpy(),
+            "slice": key[0],
+            "word_n": [x.tobytes() for x in np.split(total[which], word_at)],
+            "levels": [x.tobytes() for x in np.split(held.chain(pairs)[pair], pair_at)],
+            "n": 0, "v": 0, "false": 0.0,
+        })
+        own = pd.DataFrame({"portion": [TOTALS], "slice": [key[0]], "word_n": [b""], "levels": [b""], "n": [int(total.sum())], "v": [int((total > 0).sum())], "false": [held.false_share()]})
+        return pd.concat([out, own])
+
+    asked = questions.where(F.col("slice") != RECORD).select("portion", "slice", "words", "word_n", "pairs", "pair_n")
+    return asked.groupBy("slice").applyInPandas(answer, "portion long, slice int, word_n binary, levels binary, n long, v long, false double")
+
+
+def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, filter_bytes: int = 1 << 24, portion_bytes: int = 1 << 23) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
-        counted = scratch.table(counts(docs.where(train), text), "counts")
-        tokens = counted.where(F.col("kind") == TOKENS).select("key", "n")
-        whole = tokens.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-        total, distinct = whole["n"], whole["v"]
-        norm = float(np.log10(total + 0.1 * (distinct + 1)))
-        least, room = None, frequent
-        for r in tokens.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).limit(frequent).collect():
-            room -= r["tokens"]
-            if room < 0:
-                break
-            least = r["n"]
-        common_ = (tokens.where(F.col("n") >= least) if least else tokens.limit(0)).toPandas().sort_values("key", ignore_index=True)
-        words = spark.sparkContext.broadcast((common_["key"].to_numpy(np.int64), np.log10(common_["n"].to_numpy(np.int64) + 0.1)))
-
-        def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            """Of each row: what the frequent tokens give, what pairs of this filter give, and the rare tokens' keys, those left to the unigram apart."""
-            keys, logs = words.value
-            for pdf in batches:
-                raw = [textnum.encode(t) for t in pdf["text"]]
-                for lo, hi in textnum.blocks(raw):
-                    hashes, owner = tokens_of(raw[lo:hi])
-                    size = hi - lo
-                    signed = hashes.view(np.int64)
-                    at = np.minimum(np.searchsorted(keys, signed), max(0, len(keys) - 1))
-                    hit = keys[at] == signed if len(keys) else np.zeros(len(signed), bool)
-                    log = np.zeros(len(signed))
-                    log[hit] = logs[at[hit]]
-                    given, left = held.value.back_off(hashes, owner)
-                    per = lambda which: np.split(signed[which], np.searchsorted(owner[which], np.arange(1, size)))  # noqa: B023, E731
-                    yield pd.DataFrame({
-                        "row": pdf["row"].iloc[lo:hi].to_numpy(),
-                        "doc_id": pdf["doc_id"].iloc[lo:hi].to_numpy(),
-                        "n_tokens": np.bincount(owner, minlength=size),
-                        "n_hit": np.bincount(owner[hit], minlength=size),
-                        "base": np.bincount(owner, log - norm, size),
-                        "score": np.bincount(owner, np.where(left, given + log - norm, given), size),
-                        "rare": per(~hit & ~left),
-                        "rare_left": per(~hit & left),
-                    })
-
-        held_entries = entries(counted, scratch)
-        first = first_probes(distinct)
-        n_probes = F.sum(F.when(F.col("tag") == Q, F.lit(first) + PROBES * (F.col("upto") - 1)).when(F.col("tag") >= DIGIT, F.lit(PROBES)).otherwise(PROBES * F.col("upto")))
-        slices, filters = packed([tuple(r) for r in held_entries.groupBy("slice").agg(n_probes.alias("n")).collect()], int(filter_bytes * 8 * np.log(2)))
+        text_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        slices = max(LEAST_SLICES, -(-text_bytes // (2 * filter_bytes)))  # two bytes of text or more for one of filter
         # ids pass as text, since null ones would make doubles of them
-        rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"))
-        if len(filters) > 1:  # row numbers stay the same from pass to pass
-            rows = scratch.table(rows, "rows")
-        columns = "row long, doc_id string, n_tokens long, n_hit long, base double, score double, rare array<long>, rare_left array<long>"
-        passes = []
-        for number in range(max(1, len(filters))):
-            lm = None
-            if filters:
-                low, high, n = filters[number]
-                lm = make_filter(held_entries.where(F.col("slice").between(low, high)), n, first)
-            held = spark.sparkContext.broadcast(Model(lm, slices, number, distinct, spread))
-            out = rows.mapInPandas(measure, columns)
-            passes.append(scratch.table(out if number == 0 else out.select("row", "score", "rare_left"), f"pass{number}"))
-            held.destroy()
-        words.destroy()
-        listed = lambda df, name, base, own: df.select("row", F.explode(name).alias("key"), F.lit(base).alias("base"), F.lit(own).alias("own"))
-        measured, further = passes[0], passes[1:]
-        rare = [listed(measured, "rare", 1, 0), listed(measured, "rare_left", 1, 1), *[listed(p, "rare_left", 0, 1) for p in further]]
-        rest = reduce(DataFrame.unionAll, rare).join(tokens, "key", "left")
-        log = F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.1))
-        parts = rest.groupBy("row").agg(F.count(F.when(F.col("base") == 1, F.col("n"))).alias("more"), F.sum(F.col("base") * log).alias("of_base"), F.sum(F.col("own") * log).alias("of_score"))
-        out = measured.drop("rare", "rare_left").join(parts, "row", "left")
-        if further:
-            out = out.join(reduce(DataFrame.unionAll, [p.select("row", "score") for p in further]).groupBy("row").agg(F.sum("score").alias("rest")), "row").withColumn("score", F.col("score") + F.col("rest"))
-        out = out.select(
-            F.col("doc_id").cast("long").alias("doc_id"), "n_tokens", (F.col("n_hit") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("of_base", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("of_score", F.lit(0.0))).alias("score"))
+        rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
+        parts = scratch.table(dealt(rows, slices, portion_bytes), "portions")
+        answered = scratch.table(answers(parts, first_probes(text_bytes)), "answers")
+        whole = answered.where(F.col("portion") == TOTALS).agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.avg("false").alias("false")).first()
+        total, distinct = whole["n"] or 0, whole["v"] or 0
+        norm, false = float(np.log10(total + 0.1 * (distinct + 1))), distinct * (whole["false"] or 0.0)
+
+        def finish(own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+            mine, told = own.iloc[0], told.sort_values("slice")
+            n, tokens, words = np.frombuffer(mine["lengths"], np.int32), np.frombuffer(mine["tokens"], np.int32), np.frombuffer(mine["words"], np.uint64)
+            count, levels = np.frombuffer(b"".join(told["word_n"]), np.int64), np.frombuffer(b"".join(told["levels"]), np.uint8)
+            before, keys = pairs_of(words, tokens, n)
+            base, model = logs(count, tokens, before, levels[np.unique(keys, return_inverse=True)[1]], norm, false, spread)
+            owner = np.repeat(np.arange(len(n)), n)
+            of = lambda x: np.bincount(owner, x, len(n))
+            return pd.DataFrame({"doc_id": list(mine["ids"]), "n_tokens": n.astype(np.int64), "n_known": of(count[tokens] > 0).astype(np.int64), "base_score": of(base), "score": of(model)})
+
+        own = parts.where(F.col("slice") == RECORD).select("portion", "ids", "lengths", "tokens", "words")
+        told = answered.where(F.col("portion") != TOTALS).select("portion", "slice", "word_n", "levels")
+        out = own.groupBy("portion").cogroup(told.groupBy("portion")).applyInPandas(finish, "doc_id string, n_tokens long, n_known long, base_score double, score double")
+        out = out.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
         return common.Scratch(spark, "lm-scores").result(out)
