@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 
 def coverage(df: DataFrame, date: str, by: list[str], cleaned: Column) -> DataFrame:
-    """Distinct hours, days and months of all rows and of the cleaned ones, and the fraction of hours kept."""
-    made = {}
-    for name, unit in {"hours": "HOUR", "days": "DAY", "months": "MONTH"}.items():
-        at = F.date_trunc(unit, F.col(date))
-        made[f"raw_{name}"] = F.countDistinct(at)
-        made[f"clean_{name}"] = F.countDistinct(F.when(cleaned, at))
-    out = df.groupBy(*by).agg(*[c.alias(n) for n, c in made.items()])
-    return out.withColumn("retained", F.when(F.col("raw_hours") > 0, F.col("clean_hours") / F.col("raw_hours")))
+    """Distinct hours, days and months of all rows and of the cleaned ones, and the fraction of hours kept.
+
+    Rows become hours, hours days and days months, so that no row is counted once for each of the units.
+    """
+    at = F.date_trunc("HOUR", F.col(date))
+    out = df.groupBy(*by, at.alias("_at")).agg(F.bool_or(F.coalesce(cleaned, F.lit(False))).alias("_kept"))
+    known = F.col("_at").isNotNull()
+    counts = {"raw_hours": F.count_if(known), "clean_hours": F.count_if(known & F.col("_kept"))}
+    for name, unit in (("days", "DAY"), ("months", "MONTH"), (None, None)):
+        keys = [F.date_trunc(unit, "_at").alias("_at")] if unit else []
+        out = out.groupBy(*by, *keys).agg(*[c.alias(n) for n, c in counts.items()], F.bool_or("_kept").alias("_kept"))
+        counts = {n: F.sum(n) for n in counts} | {f"raw_{name}": F.count_if(known), f"clean_{name}": F.count_if(known & F.col("_kept"))}
+    return out.drop("_kept").withColumn("retained", F.when(F.col("raw_hours") > 0, F.col("clean_hours") / F.col("raw_hours")))
 
 
 def missingness(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from obsmill import queries as q
-from obsmill import clean_queries, fleet_queries, publication_queries, report_queries, rule_queries  # noqa: F401 - they register their queries with the others
+from obsmill import clean_queries, fleet_queries, publication_queries, report_queries, rule_queries, summary_queries  # noqa: F401 - they register their queries with the others
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
