@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -99,24 +99,42 @@ def best_hours(df: DataFrame, station: str = "STATION") -> DataFrame:
     return days.groupBy(station).agg(F.max_by("hour", F.struct("days", -F.col("hour"))).alias("hour"))
 
 
+def whole_months(days: DataFrame, least_days: int, least_months: int, station: str, *more: str) -> DataFrame:
+    """(station, year, month, *more) of months with enough days in years with enough such months, from distinct days (and *more, one value a station)."""
+    keys = [station, "year", "month", *more]
+    months = days.groupBy(*keys).agg(F.countDistinct("day").alias("_days")).where(F.col("_days") >= least_days)
+    number = F.count("month").over(Window.partitionBy(station, "year"))  # of twelve rows or fewer
+    return months.withColumn("_months", number).where(F.col("_months") >= least_months).select(*keys)
+
+
 def climatology(df: DataFrame, strategy: str, how: dict[str, str], hour: int | None = None, least_days: int = 20, least_months: int = 12, least_hours: int = 18, station: str = "STATION") -> dict[str, DataFrame]:
-    """hourly, monthly and yearly frames of timed rows by one of the five strategies."""
+    """hourly, monthly and yearly frames of timed rows by one of the five strategies.
+
+    Which rows count is found from the distinct days and hours of df, which are few; df itself is joined with them once.
+    """
     keys = [station, "year", "month"]
-    if strategy in ("best_hour", "fixed_hour"):
-        if strategy == "fixed_hour" and hour is None:
+    days = df.select(*keys, "day").distinct()
+    slots = df.select(*keys, "day", "hour").distinct()
+    if strategy == "best_hour":
+        chosen = slots.join(best_hours(slots, station), [station, "hour"])
+        rows = df.join(whole_months(chosen, least_days, least_months, station, "hour"), [*keys, "hour"], "left_semi")
+    elif strategy == "fixed_hour":
+        if hour is None:
             raise ValueError("fixed_hour needs an hour")
-        rows = df.join(F.broadcast(best_hours(df, station)), [station, "hour"]) if strategy == "best_hour" else df.where(F.col("hour") == hour)
-        rows = full_years(full_months(rows, least_days, station), least_months, station)
+        rows = df.where(F.col("hour") == hour).join(whole_months(slots.where(F.col("hour") == hour), least_days, least_months, station), keys, "left_semi")
+    elif strategy == "weighted_hours":
+        weights = slots.groupBy(*keys, "day").agg(F.count("hour").alias("hours")).where(F.col("hours") >= least_hours)
+        weights = weights.join(whole_months(weights, least_days, least_months, station), keys, "left_semi")
+        rows = df.join(weights, [*keys, "day"])
+        return {"hourly": rows, "monthly": weighted_rollup(rows, keys, how, "hours"), "yearly": weighted_rollup(rows, [station, "year"], how, "hours")}
+    else:
+        rows = df.join(whole_months(days, least_days, least_months, station), keys, "left_semi")
+    if strategy in ("best_hour", "fixed_hour"):
         return {"hourly": rows, "monthly": rollup(rows, keys, how), "yearly": rollup(rows, [station, "year"], how)}
-    rows = full_years(full_months(df, least_days, station), least_months, station)
     if strategy == "hour_day_month_year":
         hourly = rollup(rows, [*keys, "day", "hour"], how)
         daily = rollup(hourly, [*keys, "day"], how)
         return {"hourly": hourly, "daily": daily, "monthly": rollup(daily, keys, how), "yearly": rollup(daily, [station, "year"], how)}
-    if strategy == "weighted_hours":
-        weighted = hour_weights(df, least_hours, station)
-        weighted = full_years(full_months(weighted, least_days, station), least_months, station)
-        return {"hourly": weighted, "monthly": weighted_rollup(weighted, keys, how, "hours"), "yearly": weighted_rollup(weighted, [station, "year"], how, "hours")}
     if strategy == "daily_min_max_mean":
         daily = daily_triples(rows, [*keys, "day"], how)
         means = {c: "mean" for c in daily.columns if "__daily_" in c}
