@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmill.llm import alignment, bpe, common, html_extract, language_id, lm_score, media, mixing, neighbours, quality_classifier, quality_rules, resharding, simhash, vector_codes
+from obsmill.llm import alignment, bpe, common, html_extract, language_id, lm_score, media, mixing, neighbours, oracles, quality_classifier, quality_rules, resharding, simhash, vector_codes
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,4 +98,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
