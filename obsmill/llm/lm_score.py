@@ -28,6 +28,7 @@ an empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,10 +45,10 @@ END_HASH = np.uint64(1)
 BLOCK_BITS = 19
 PROBES = 10  # of entries other than the first of a pair
 LEAST_SLICES = 64
+SENT_BITS = 28  # of a pair's key, beside those of the number of bytes
 RECORD, TOTALS = -1, -1  # the slice of a portion's own row, and the portion of a slice's totals
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _HALF = np.uint64(32)
-_LOW = np.uint64(0xFFFFFFFF)
 
 
 def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,16 +74,27 @@ def cuts(keys: np.ndarray, slices: int) -> np.ndarray:
     return np.searchsorted(((keys >> _HALF) * np.uint64(slices)) >> _HALF, np.arange(slices + 1))
 
 
-def short(keys: np.ndarray) -> bytes:
-    """48 bits of each key, which tell the pairs of a slice apart; the lower half, which chooses the block, comes first."""
-    value = ((keys & _LOW) << np.uint64(16)) | ((keys >> _HALF) & np.uint64(0xFFFF))
-    return value.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def packed(x: np.ndarray) -> bytes:
+    """Whole numbers by their bytes' places, compressed: most counts are small, and most upper bytes are zero."""
+    return zlib.compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes(), 1)
 
 
-def long(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as what each is above the one before."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def spare_bits(text_bytes: int) -> int:
+    """Bits of a pair's key that needn't be sent: the others are so many more than the corpus has bytes that few pairs of a slice fall together."""
+    return max(0, 64 - SENT_BITS - text_bytes.bit_length())
 
 
 def first_probes(text_bytes: int) -> int:
@@ -94,7 +106,7 @@ class LogFrequencyFilter:
     """Chains of entries in blocks of 64 KB; about half of the bits are set."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray, first: int):
-        """keys: of 48 bits, each once; first: probes of the first entry of a chain."""
+        """keys: sorted, each once; first: probes of the first entry of a chain."""
         levels = np.frexp(counts)[1]
         n_probes = first * len(keys) + PROBES * int((levels - 1).sum())
         self.first, self.n_blocks = first, max(1, -(-int(n_probes / np.log(2)) >> BLOCK_BITS))
@@ -109,7 +121,7 @@ class LogFrequencyFilter:
 
     def walk(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The block's first bit, where an entry's bits begin within it, the first step, and by how much steps grow."""
-        block = ((keys >> np.uint64(16)) * np.uint64(self.n_blocks)) >> _HALF
+        block = ((keys >> _HALF) * np.uint64(self.n_blocks)) >> _HALF
         h = textnum.mix(keys + np.array([level], np.uint64) * _GOLDEN)
         return block << np.uint64(BLOCK_BITS), h, (h >> np.uint64(BLOCK_BITS)) | np.uint64(1), h >> np.uint64(2 * BLOCK_BITS)
 
@@ -164,7 +176,7 @@ def logs(count: np.ndarray, tokens: np.ndarray, before: np.ndarray, levels: np.n
     return base, np.where(q > 0, backed, backed + base)
 
 
-def dealt(docs: DataFrame, slices: int, portion_bytes: int) -> DataFrame:
+def dealt(docs: DataFrame, slices: int, spare: int, portion_bytes: int) -> DataFrame:
     """Of rows (doc_id, text, train): each portion's own row (ids, tokens of each text, words, token numbers) and its questions to the slices."""
 
     def portion(number: int, ids: list, raw: list[bytes], train: list[bool]) -> pd.DataFrame:
@@ -178,11 +190,11 @@ def dealt(docs: DataFrame, slices: int, portion_bytes: int) -> DataFrame:
         learned = np.repeat(np.array(train, bool), n)
         pairs, of = np.unique(pairs_of(words, tokens, n)[1], return_inverse=True)
         word_n, pair_n = np.bincount(tokens[learned], minlength=len(words)).astype(np.int32), np.bincount(of[learned], minlength=len(pairs)).astype(np.int32)
-        rows = [(number, RECORD, ids, n.astype(np.int32).tobytes(), tokens.astype(np.int32).tobytes(), words.tobytes(), None, None, None)]
+        rows = [(number, RECORD, ids, packed(n.astype(np.int32)), packed(tokens.astype(np.int32)), packed_keys(words), None, None, None)]
         at, pair_at = cuts(words, slices), cuts(pairs, slices)
         for k in np.flatnonzero((np.diff(at) > 0) | (np.diff(pair_at) > 0)):
             w, p = slice(at[k], at[k + 1]), slice(pair_at[k], pair_at[k + 1])
-            rows.append((number, int(k), None, None, None, words[w].tobytes(), word_n[w].tobytes(), short(pairs[p]), pair_n[p].tobytes()))
+            rows.append((number, int(k), None, None, None, packed_keys(words[w]), packed(word_n[w]), packed_keys(pairs[p] >> np.uint64(spare)), packed(pair_n[p])))
         return pd.DataFrame(rows, columns=["portion", "slice", "ids", "lengths", "tokens", "words", "word_n", "pairs", "pair_n"])
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,51 +219,59 @@ def answers(questions: DataFrame, first: int) -> DataFrame:
     """(portion, slice, word_n, levels) of questions, and of each slice (TOTALS, slice) with its counts' sum, its different words and its false share."""
 
     def answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        words, which = np.unique(np.frombuffer(b"".join(pdf["words"]), np.uint64), return_inverse=True)
-        total = np.bincount(which, np.frombuffer(b"".join(pdf["word_n"]), np.int32), len(words)).astype(np.int64)
-        pairs, pair = np.unique(long(b"".join(pdf["pairs"])), return_inverse=True)
-        pair_total = np.bincount(pair, np.frombuffer(b"".join(pdf["pair_n"]), np.int32), len(pairs)).astype(np.int64)
+        whole = lambda column: np.concatenate([unpacked(x, np.int32) for x in pdf[column]])
+        asked = [unpacked_keys(x) for x in pdf["words"]]
+        words, which = np.unique(np.concatenate(asked), return_inverse=True)
+        total = np.bincount(which, whole("word_n"), len(words)).astype(np.int64)
+        asked_pairs = [unpacked_keys(x) for x in pdf["pairs"]]
+        pairs, pair = np.unique(textnum.mix(np.concatenate(asked_pairs)), return_inverse=True)  # by block from here on
+        pair_total = np.bincount(pair, whole("pair_n"), len(pairs)).astype(np.int64)
         held = LogFrequencyFilter(pairs[pair_total > 0], pair_total[pair_total > 0], first)
-        word_at, pair_at = np.cumsum(pdf["words"].str.len() // 8)[:-1], np.cumsum(pdf["pairs"].str.len() // 6)[:-1]
+        word_at, pair_at = np.cumsum([len(x) for x in asked])[:-1], np.cumsum([len(x) for x in asked_pairs])[:-1]
         out = pd.DataFrame({
             "portion": pdf["portion"].to_numpy(),
             "slice": key[0],
-            "word_n": [x.tobytes() for x in np.split(total[which], word_at)],
-            "levels": [x.tobytes() for x in np.split(held.chain(pairs)[pair], pair_at)],
+            "word_n": [packed(x) for x in np.split(total[which], word_at)],
+            "levels": [packed(x) for x in np.split(held.chain(pairs)[pair], pair_at)],
             "n": 0, "v": 0, "false": 0.0,
         })
         own = pd.DataFrame({"portion": [TOTALS], "slice": [key[0]], "word_n": [b""], "levels": [b""], "n": [int(total.sum())], "v": [int((total > 0).sum())], "false": [held.false_share()]})
         return pd.concat([out, own])
 
-    asked = questions.where(F.col("slice") != RECORD).select("portion", "slice", "words", "word_n", "pairs", "pair_n")
-    return asked.groupBy("slice").applyInPandas(answer, "portion long, slice int, word_n binary, levels binary, n long, v long, false double")
+    return questions.select("portion", "slice", "words", "word_n", "pairs", "pair_n").groupBy("slice").applyInPandas(answer, "portion long, slice int, word_n binary, levels binary, n long, v long, false double")
 
 
 def score(docs: DataFrame, train: Column, text: str = "text", spread: float = SPREAD, filter_bytes: int = 1 << 24, portion_bytes: int = 1 << 23) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each row of docs; the model learns from rows where train holds."""
     spark = docs.sparkSession
     with common.Scratch(spark, "lm") as scratch:
-        text_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        text_bytes, n_rows = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)), F.count("*")).first()
+        if not n_rows:
+            none = {"n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double"}
+            return docs.limit(0).select("doc_id", *[F.lit(None).cast(kind).alias(name) for name, kind in none.items()])
         slices = max(LEAST_SLICES, -(-text_bytes // (2 * filter_bytes)))  # two bytes of text or more for one of filter
         # ids pass as text, since null ones would make doubles of them
         rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-        parts = scratch.table(dealt(rows, slices, portion_bytes), "portions")
-        answered = scratch.table(answers(parts, first_probes(text_bytes)), "answers")
+        parts, kind = dealt(rows, slices, spare_bits(text_bytes), portion_bytes), F.when(F.col("slice") == RECORD, "own").otherwise("asked")
+        parts.withColumn("kind", kind).write.partitionBy("kind").parquet(scratch.folder("portions"))
+        of = lambda kind: spark.read.schema(parts.schema).parquet(f"{scratch.root}/portions/kind={kind}")
+        answered = scratch.table(answers(of("asked"), first_probes(text_bytes)), "answers")
+        common.remove(spark, f"{scratch.root}/portions/kind=asked")  # half of what is on disk
         whole = answered.where(F.col("portion") == TOTALS).agg(F.sum("n").alias("n"), F.sum("v").alias("v"), F.avg("false").alias("false")).first()
         total, distinct = whole["n"] or 0, whole["v"] or 0
         norm, false = float(np.log10(total + 0.1 * (distinct + 1))), distinct * (whole["false"] or 0.0)
 
         def finish(own: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
             mine, told = own.iloc[0], told.sort_values("slice")
-            n, tokens, words = np.frombuffer(mine["lengths"], np.int32), np.frombuffer(mine["tokens"], np.int32), np.frombuffer(mine["words"], np.uint64)
-            count, levels = np.frombuffer(b"".join(told["word_n"]), np.int64), np.frombuffer(b"".join(told["levels"]), np.uint8)
+            n, tokens, words = unpacked(mine["lengths"], np.int32), unpacked(mine["tokens"], np.int32), unpacked_keys(mine["words"])
+            count, levels = np.concatenate([unpacked(x, np.int64) for x in told["word_n"]]), np.concatenate([unpacked(x, np.uint8) for x in told["levels"]])
             before, keys = pairs_of(words, tokens, n)
             base, model = logs(count, tokens, before, levels[np.unique(keys, return_inverse=True)[1]], norm, false, spread)
             owner = np.repeat(np.arange(len(n)), n)
-            of = lambda x: np.bincount(owner, x, len(n))
-            return pd.DataFrame({"doc_id": list(mine["ids"]), "n_tokens": n.astype(np.int64), "n_known": of(count[tokens] > 0).astype(np.int64), "base_score": of(base), "score": of(model)})
+            summed = lambda x: np.bincount(owner, x, len(n))
+            return pd.DataFrame({"doc_id": list(mine["ids"]), "n_tokens": n.astype(np.int64), "n_known": summed(count[tokens] > 0).astype(np.int64), "base_score": summed(base), "score": summed(model)})
 
-        own = parts.where(F.col("slice") == RECORD).select("portion", "ids", "lengths", "tokens", "words")
+        own = of("own").select("portion", "ids", "lengths", "tokens", "words")
         told = answered.where(F.col("portion") != TOTALS).select("portion", "slice", "word_n", "levels")
         out = own.groupBy("portion").cogroup(told.groupBy("portion")).applyInPandas(finish, "doc_id string, n_tokens long, n_known long, base_score double, score double")
         out = out.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")

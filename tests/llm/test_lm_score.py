@@ -71,7 +71,7 @@ def test_probabilities_of_next_words_sum_to_one_or_less():
     tokens = (3_000 * rng.random(60_000) ** 3).astype(np.int64).clip(0, len(words) - 1)
     count = np.bincount(tokens, minlength=len(words))
     before, keys = lm_score.pairs_of(words, tokens, np.array([len(tokens)]))
-    pairs, n = np.unique(lm_score.long(lm_score.short(keys)), return_counts=True)
+    pairs, n = np.unique(textnum.mix(keys), return_counts=True)
     held = lm_score.LogFrequencyFilter(pairs, n, 10)
     assert 0.3 < held.fill < 0.55 and (held.chain(pairs) >= np.frexp(n)[1]).all()
     false, norm = len(words) * held.false_share(), np.log10(count.sum() + 0.1 * (len(words) + 1))
@@ -79,7 +79,7 @@ def test_probabilities_of_next_words_sum_to_one_or_less():
     for context in rng.choice(np.unique(before), 60, replace=False):
         two = np.stack([np.full(len(words), context), np.arange(len(words))], 1).ravel()
         at, key = lm_score.pairs_of(words, two, np.full(len(words), 2))
-        model = lm_score.logs(count, two, at, held.chain(lm_score.long(lm_score.short(key))), norm, false, lm_score.SPREAD)[1]
+        model = lm_score.logs(count, two, at, held.chain(textnum.mix(key)), norm, false, lm_score.SPREAD)[1]
         sums.append((10 ** model[1::2]).sum())
     assert np.mean(sums) <= 1 and max(sums) < 1.5
 
@@ -99,8 +99,11 @@ def test_keys_are_dealt_whole():
     for slices in (1, 64, 100_003):
         at = lm_score.cuts(keys, slices)
         assert at[0] == 0 and at[-1] == len(keys) and (np.diff(at) >= 0).all()
-    assert len(np.unique(lm_score.long(lm_score.short(keys)))) == len(np.unique(keys))
-    assert lm_score.long(b"").size == 0
+    for x in (keys, keys[:0], keys[:1]):
+        assert (lm_score.unpacked_keys(lm_score.packed_keys(x)) == x).all()
+    for kind in (np.uint8, np.int32, np.int64):
+        x = (keys % np.uint64(97)).astype(kind)
+        assert (lm_score.unpacked(lm_score.packed(x), kind) == x).all() and lm_score.unpacked(lm_score.packed(x[:0]), kind).size == 0
 
 
 def test_contract(spark):
