@@ -4,8 +4,10 @@ import hashlib
 import random
 from datetime import datetime, timedelta
 
+import duckdb
 import pytest
 
+from obsmill import publication_queries, queries
 from obsmill.operators import gaps, profiles, quality, ranking, schemas
 from obsmill.sources import folders
 
@@ -144,3 +146,14 @@ def test_distribution_has_one_buffer_and_extremes_their_ties(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("percentile(") == 1
     ties = spark.createDataFrame([(s, v) for v in (1.0, 2.0) for s in "dcba"], "s string, v double")
     assert [tuple(r) for r in quality.extremes(ties, "v", ["s", "v"], False, 3).orderBy("place").collect()] == [(1, "a", 2.0), (2, "b", 2.0), (3, "c", 2.0)]
+
+
+def test_sorted_csv_rounds_as_printf(spark, tmp_path):
+    """Balances a little under a half, exact halves, nulls and values that aren't numbers, against the query's SQL."""
+    cells = [6959.15, 5014.95, 7211.25, 0.25, 0.35, -425.45, -0.04, 0.05, 1e22, 2.0**50 + 0.25, 123456789.05, None, float("inf"), float("nan")]
+    rows = [(5 * k + 1, x) for k, x in enumerate(cells)] + [(5, 1.0), (None, 2.0)]
+    spark.createDataFrame(rows, "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view supplier as select * from read_parquet('{tmp_path}/supplier.parquet/*.parquet')")
+    got = publication_queries.sorted_csv(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(con.execute(queries.SQL["S06_sorted_csv"]).fetchall(), key=str)
