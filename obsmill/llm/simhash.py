@@ -10,6 +10,11 @@ that share a half with more than ``dense`` others, and those whose probes hit su
 instead: each is linked to the 64 values one bit away from it. Two values at distance two or less have one
 such value in common (or are one another's), and a value has at most 65 of them, so nothing grows but linearly.
 
+Wider fingerprints, of whole numbers of 64 bits, serve other operators (``wide``, ``near_segments``, ``distance``).
+They are cut into segments of 32 bits, and each segment is looked up with its ball of radius one from both sides:
+two segments at two bits or fewer meet in a value that is at most one bit from each. Fingerprints of m segments
+that differ in 3 m - 1 bits or fewer have such a segment, so they meet; most that differ in some more do as well.
+
 Defined results: null text and text without words have fingerprint zero and link like any other. Fewer words
 than a shingle: the whole sequence is the one shingle. Equal fingerprints are one node, however many documents
 hold them. A null doc_id never is the smallest; a component of null ids alone has a null component_id.
@@ -53,6 +58,28 @@ def _majority(hashes: np.ndarray) -> np.uint64:
     return np.packbits(2 * ones > len(hashes)).view(">u8")[0]
 
 
+def wide(hashes: np.ndarray, words: int) -> np.ndarray:
+    """A fingerprint of 64 * words bits; further bits than the hashes' own are of the hashes mixed again."""
+    out = np.zeros(words, np.uint64)
+    for k in range(words):
+        out[k] = _majority(hashes)
+        hashes = textnum.mix(hashes + np.uint64(0x9E3779B97F4A7C15))
+    return out
+
+
+def near_segments(fp: str) -> Column:
+    """Of a wide fingerprint, an array of longs: all values at one bit or none from a segment, under the segment's number."""
+    low = F.lit((1 << HALF) - 1)
+    segments = F.flatten(F.transform(fp, lambda x, i: F.array(F.shiftleft((2 * i).cast("long"), HALF).bitwiseOR(F.shiftrightunsigned(x, HALF)), F.shiftleft((2 * i + 1).cast("long"), HALF).bitwiseOR(x.bitwiseAND(low)))))
+    ball = F.array(*[F.lit(x).cast("long") for x in (0, *(1 << i for i in range(HALF)))])
+    return F.flatten(F.transform(segments, lambda s: F.transform(ball, lambda b: s.bitwiseXOR(b))))
+
+
+def distance(u: str, v: str) -> Column:
+    """The number of bits in which two wide fingerprints differ."""
+    return F.aggregate(F.zip_with(u, v, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
 def fingerprint(text: Column, width: int = 3) -> Column:
     """The fingerprint of a text as a long with the same bits."""
 

@@ -1,10 +1,17 @@
-"""Near-duplicate components by the Jaccard similarity of word shingles, without a missed pair.
+"""Near-duplicate components by the Jaccard similarity of word shingles: SimHash with multi-index hashing, then an exact way for the rest.
 
 Two texts link where the similarity of their sets of 64-bit shingle hashes is ``share`` or more. Candidates come
-from prefixes: under any order of all shingles, two such sets have a shingle in common among the first
-n - ceil(share * n) + 1 of each. So a shared prefix shingle is looked for, and every candidate is verified on the
-whole sets. The order puts shingles that a sample of texts finds frequent last, which keeps common passages out
-of the prefixes; the result doesn't depend on the sample, as the argument holds for any order.
+from SimHash fingerprints of the sets, of 192 bits, by multi-index hashing (``simhash.near_segments``): fingerprints
+meet where a segment of 32 bits differs in two bits or fewer, which is sure up to 17 bits in all. Those that meet in a
+value are compared with ``ROUNDS`` of them, which is linear in groups of copies of any size. Pairs at ``DISTANCE`` bits
+or fewer are verified on the whole sets, and what has come into one component needs no more comparing.
+
+A pair at share 0.8 lies about 29 of 192 bits apart, and no distance is sure: fingerprints alone lose links. So
+the pairs they leave are found exactly, between components only, from prefixes: under any order of all shingles, two
+sets of the similarity have a shingle in common among the first n - ceil(share * n) + 1 of each. So a shared prefix
+shingle is looked for, and every candidate is verified. The order puts shingles that a sample of texts finds frequent
+last, which keeps common passages out of the prefixes; the result doesn't depend on the sample, as the argument holds
+for any order, nor on the fingerprints, as each of their links is verified.
 
 Each set also has a bitmap of the parities of its shingles' buckets. A shingle that is in one of two sets changes
 one bit, so bitmaps differ in no more bits than the sets in shingles, and candidates whose bitmaps or sizes differ
@@ -12,13 +19,6 @@ by more than the similarity allows are passed over without looking at the sets;
 passing over shared shingles that lie too far back in a set to be the first of enough shared ones. Small bitmaps go
 with the prefixes; what they leave is looked at by larger ones, which tell longer texts apart.
 
-Texts that share a prefix shingle are first compared with one of them, a few times over; what has come into one
-component needs no more comparing. Then all pairs that share one and are in different components are compared, so
-that many near copies of a text don't grow with the square of their number.
-
-A pair at share 0.8 can be a dozen bits apart in a 64-bit SimHash, whose segments and balls for that distance
-would meet a fixed part of all pairs; hence no fingerprints here.
-
 Defined results: null text and text without words have the one shingle 0 and link with one another. Fewer words
 than a shingle: the whole sequence is the one shingle. Texts of equal sets are one node.
 """
@@ -34,11 +34,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmill.llm import common, components, textnum
+from obsmill.llm import common, components, simhash, textnum
 
 WORDS, MORE_WORDS = 4, 64  # of 64 bits in the small and the large bitmap
 STEP = np.uint64(0xD6E8FEB86659FD93)
-ROUNDS = 2
+FP_WORDS, DISTANCE = 3, 60  # of 64 bits in a fingerprint; fingerprints of unlike texts differ in 96 bits, give or take 7
+ROUNDS = 2  # with how many of those that meet in a value a fingerprint is compared
 
 
 def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
@@ -84,14 +85,15 @@ def bitmap(shingles: np.ndarray, words: int) -> np.ndarray:
 
 
 def _of_sets(text: Column, width: int, frequent: Broadcast | None = None, parts: tuple[int, int] = (4, 5)) -> Column:
-    """node, size, bitmap and the prefix (without ``frequent``, the whole set) of a text's shingles."""
+    """node, size, fp, bitmap and the prefix (without ``frequent``, no fp and the whole set) of a text's shingles."""
 
-    @F.pandas_udf("node long, size int, bitmap array<long>, shingles array<long>")
+    @F.pandas_udf("node long, size int, fp array<long>, bitmap array<long>, shingles array<long>")
     def column(texts: pd.Series) -> pd.DataFrame:
-        out: dict[str, list] = {"node": [], "size": [], "bitmap": [], "shingles": []}
+        out: dict[str, list] = {"node": [], "size": [], "fp": [], "bitmap": [], "shingles": []}
         for x in shingle_sets(texts.tolist(), width):
             out["node"].append(np.uint64(xxhash.xxh64_intdigest(x.tobytes())).astype(np.int64))
             out["size"].append(len(x))
+            out["fp"].append(None if frequent is None else simhash.wide(x, FP_WORDS).view(np.int64))
             out["bitmap"].append(bitmap(x, MORE_WORDS if frequent is None else WORDS))
             out["shingles"].append((x if frequent is None else prefix(x, frequent.value, parts)).view(np.int64))
         return pd.DataFrame(out)
@@ -142,6 +144,28 @@ def verified(pairs: DataFrame, sets: DataFrame, parts: tuple[int, int], scratch:
     return pairs.join(left, "u").join(right, "v").where((a + b) * both >= a * (F.size("x") + F.size("y"))).select("u", "v").distinct()
 
 
+def fingerprint_pairs(fps: DataFrame, scratch: common.Scratch) -> DataFrame:
+    """(u, v): of fingerprints that meet in a segment, each with ``ROUNDS`` of them, where they are near."""
+    spread = fps.select("node", F.explode(simhash.near_segments("fp")).alias("key")).repartition("key")  # one shuffle for both uses
+    several = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
+    met = scratch.table(spread.join(several, "key"), "met")
+    ones = met.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by("node", F.xxhash64(F.lit(k), "node")) for k in range(ROUNDS)])).alias("ones"))
+    pairs = met.join(ones, "key").select("node", F.explode("ones").alias("one")).where("node <> one").select(F.least("node", "one").alias("u"), F.greatest("node", "one").alias("v")).distinct()
+    return pairs.join(fps.toDF("u", "a"), "u").join(fps.toDF("v", "b"), "v").where(simhash.distance("a", "b") <= DISTANCE).select("u", "v")
+
+
+def prefix_pairs(prefixes: DataFrame, nodes: DataFrame | None, parts: tuple[int, int], scratch: common.Scratch) -> DataFrame:
+    """(u, v): all nodes of different roots that share a prefix shingle and may have the similarity; a node without a root is its own."""
+    rooted = prefixes.withColumn("root", F.col("node")) if nodes is None else prefixes.join(nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    spread = rooted.select("node", "root", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
+    several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    shared = scratch.table(spread.join(several, "key"), "shared")
+    buckets = scratch.table(shared.join(prefixes.select("node", "of"), "node").select("key", "root", F.struct("node", "of.size", "of.bitmap", "pos").alias("of")), "buckets")
+    scratch.drop("shared")
+    pairs = buckets.join(buckets.select("key", F.col("of").alias("other"), F.col("root").alias("_root")), "key").where("of.node < other.node and root <> _root")
+    return pairs.where(placed("of", "other", parts) & possible("of", "other", parts)).select(F.col("of.node").alias("u"), F.col("other.node").alias("v")).distinct()
+
+
 def roots(docs: DataFrame, scratch: common.Scratch, text: str, width: int, parts: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_hash, node) for each row of docs, and (node, root) of nodes that link with another."""
     spark = docs.sparkSession
@@ -149,39 +173,26 @@ def roots(docs: DataFrame, scratch: common.Scratch, text: str, width: int, parts
     text_hash = F.xxhash64(text).alias("text_hash")
     held = scratch.table(docs.select("doc_id", text_hash, _of_sets(F.col(text), width, frequent, parts).alias("x")).select("doc_id", "text_hash", "x.*"), "held")
     rows = scratch.table(held.select("doc_id", "text_hash", "node"), "rows")
-    prefixes = scratch.table(held.groupBy("node").agg(F.first(F.struct("size", "bitmap")).alias("of"), F.first("shingles").alias("shingles")), "prefixes")
+    prefixes = scratch.table(held.groupBy("node").agg(F.first(F.struct("size", "bitmap")).alias("of"), F.first("fp").alias("fp"), F.first("shingles").alias("shingles")), "prefixes")
     scratch.drop("held")
-    spread = prefixes.select("node", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
-    several = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    shared = scratch.table(spread.join(several, "key"), "shared")
-    buckets = scratch.table(shared.join(prefixes.select("node", "of"), "node").select("key", F.struct("node", "of.size", "of.bitmap", "pos").alias("of")), "buckets")
-    scratch.drop("prefixes")
-    scratch.drop("shared")
-    # One row of each set that shares a shingle; rows that are equal in id and text can come along, which repeats links only.
-    one_row = rows.join(buckets.select("of.node").distinct(), "node", "left_semi").groupBy("node").agg(F.min(F.struct("text_hash", "doc_id")).alias("x")).select("x.*")
-    same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_hash") == F.col("r.text_hash"))
-    found = docs.select("doc_id", text, text_hash).alias("d").join(one_row.alias("r"), same, "left_semi").select(_of_sets(F.col(text), width).alias("x"))
-    sets = scratch.table(found.select("x.*"), "sets")
     edges, nodes = None, None
-    for k in range(ROUNDS + 1):
-        now = buckets.withColumn("root", F.col("of.node")) if nodes is None else buckets.join(nodes, F.col("of.node") == F.col("node"), "left").select("key", "of", F.coalesce("root", "of.node").alias("root"))
-        if k < ROUNDS:  # with one of those that share the shingle
-            pick = F.xxhash64(F.lit(k), "of.node")
-            one = now.groupBy("key").agg(F.min_by(F.struct("of", "root"), pick).alias("one"), F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-            pairs = now.join(one, "key").where("root <> one.root").select("of", F.col("one.of").alias("other"))
-        else:
-            mixed = now.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-            now = scratch.table(now.join(mixed, "key", "left_semi"), "mixed")
-            pairs = now.join(now.select("key", F.col("of").alias("other"), F.col("root").alias("_root")), "key").where("of.node < other.node and root <> _root")
-        pairs = scratch.table(pairs.where(placed("of", "other", parts) & possible("of", "other", parts)).select(F.least("of.node", "other.node").alias("u"), F.greatest("of.node", "other.node").alias("v")).distinct(), f"pairs{k}")
-        if pairs.isEmpty():
-            continue
-        new = scratch.table(verified(pairs, sets, parts, scratch, f"pairs{k}"), f"links{k}")
-        if new.isEmpty():
-            continue
-        edges = new if edges is None else edges.unionAll(new)
-        with common.Scratch(spark, f"similar-{k}") as inner:
-            nodes = scratch.table(components.connected_components(edges, inner), f"nodes{k}")
+    for name in ["fingerprints", "rest"] if ROUNDS else ["rest"]:
+        with common.Scratch(spark, f"similar-{name}") as inner:
+            pairs = fingerprint_pairs(prefixes.select("node", "fp"), inner) if name == "fingerprints" else prefix_pairs(prefixes.drop("fp"), nodes, parts, inner)
+            pairs = inner.table(pairs, "pairs")
+            if pairs.isEmpty():
+                continue
+            # One row of each set in a pair; rows that are equal in id and text can come along, which repeats links only.
+            asked = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+            one_row = rows.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct("text_hash", "doc_id")).alias("x")).select("x.*")
+            same = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_hash") == F.col("r.text_hash"))
+            found = docs.select("doc_id", text, text_hash).alias("d").join(one_row.alias("r"), same, "left_semi").select(_of_sets(F.col(text), width).alias("x"))
+            sets = inner.table(found.select("x.node", "x.size", "x.bitmap", "x.shingles"), "sets")
+            new = scratch.table(verified(pairs, sets, parts, inner, "pairs"), f"links-{name}")
+            if new.isEmpty():
+                continue
+            edges = new if edges is None else edges.unionAll(new)
+            nodes = scratch.table(components.connected_components(edges, inner), f"nodes-{name}")
     frequent.destroy()
     return rows, nodes if nodes is not None else spark.createDataFrame([], "node long, root long")
 

@@ -5,10 +5,11 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline
-from obsmill.llm import similar
+from obsmill.llm import simhash, similar
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -75,3 +76,31 @@ def test_edges(spark):
     docs = spark.createDataFrame(rows, SCHEMA)
     assert similar.drop_near_duplicates(docs).count() == 2
     assert similar.drop_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_fingerprints_meet(spark):
+    """All pairs up to eleven bits of 128 meet, whichever bits differ; ten values each way at random and spread over the segments."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(40):
+        base = rng.integers(0, 2, 128)
+        for n in range(12):
+            other = base.copy()
+            places = rng.permutation(128)[:n] if k % 2 else np.array([32 * (j % 4) + j // 4 for j in range(n)], int)
+            other[places] ^= 1
+            rows.append((k, n, *(np.packbits(x).view(np.int64).tolist() for x in (base, other))))
+    df = spark.createDataFrame(rows, "k int, n int, a array<long>, b array<long>")
+    got = df.select("n", simhash.distance("a", "b").alias("bits"), simhash.near_segments("a").alias("x"), simhash.near_segments("b").alias("y")).collect()
+    assert all(r["bits"] == r["n"] and set(r["x"]) & set(r["y"]) and len(set(r["x"])) == 4 * 33 for r in got)
+
+
+def test_links_by_fingerprints(spark, monkeypatch):
+    """Without the exact way for the rest, copies with few changes still link; no other texts do."""
+    monkeypatch.setattr(similar, "prefix_pairs", lambda prefixes, *_: prefixes.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
+    rng, rows = np.random.default_rng(9), []
+    for _ in range(20):
+        base = [f"w{i}" for i in rng.integers(0, 1 << 30, 300)]
+        rows += [" ".join(changed(rng, base, n)) for n in (0, 1, 1, 2)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(rows)], SCHEMA)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect())
+    assert kept == list(range(0, 80, 4)) == brute_force([*enumerate(rows)])
