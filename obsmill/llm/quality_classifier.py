@@ -102,7 +102,7 @@ def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1000)
 
     marks has doc_id and label. The sample is drawn from it, so that it, not the texts, is what is sent around;
     an id that several documents share stands for the greatest of their texts. What sampling changes in the
-    labels' shares is put back into the output bias.
+    labels' shares is put back into the output bias. One task learns from it; only the weights reach the driver.
     """
     known = marks.where("doc_id is not null and label is not null").select("doc_id", (F.col("label") > 0).cast("int").alias("label"))
     totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
@@ -116,10 +116,15 @@ def fit(docs: DataFrame, marks: DataFrame, text: str = "text", most: int = 1000)
                 unique, n = np.unique(ids, return_counts=True)
                 yield pd.DataFrame({"ids": [unique.astype(np.uint32).tobytes()], "n": [n.astype(np.uint32).tobytes()], "label": [label_]})
 
-    got = sample.mapInPandas(count, "ids binary, n binary, label int").toPandas()
-    made = [(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32).astype(np.float32), int(y)) for a, b, y in zip(got["ids"], got["n"], got["label"], strict=True)]
-    made.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes()))
-    model = train(made)
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32).astype(np.float32), int(y)) for pdf in batches for a, b, y in zip(pdf["ids"], pdf["n"], pdf["label"], strict=True)]
+        rows.sort(key=lambda r: (r[2], len(r[0]), r[0].tobytes()))
+        model = train(rows)
+        yield pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+
+    counted = sample.mapInPandas(count, "ids binary, n binary, label int")
+    learned = counted.repartition(1).mapInPandas(learn, "weights binary, bias double").first()
+    model = Classifier(np.frombuffer(learned["weights"], np.float64), learned["bias"]) if learned else train([])
     if len(totals) == 2:
         model.bias += np.log(max(1.0, totals[1] / most)) - np.log(max(1.0, totals[0] / most))
     return model
