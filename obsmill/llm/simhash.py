@@ -67,12 +67,16 @@ def wide(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
+def segments(fp: str) -> Column:
+    """Of a wide fingerprint, an array of longs: its segments, each under its number."""
+    low = F.lit((1 << HALF) - 1)
+    return F.flatten(F.transform(fp, lambda x, i: F.array(F.shiftleft((2 * i).cast("long"), HALF).bitwiseOR(F.shiftrightunsigned(x, HALF)), F.shiftleft((2 * i + 1).cast("long"), HALF).bitwiseOR(x.bitwiseAND(low)))))
+
+
 def near_segments(fp: str) -> Column:
     """Of a wide fingerprint, an array of longs: all values at one bit or none from a segment, under the segment's number."""
-    low = F.lit((1 << HALF) - 1)
-    segments = F.flatten(F.transform(fp, lambda x, i: F.array(F.shiftleft((2 * i).cast("long"), HALF).bitwiseOR(F.shiftrightunsigned(x, HALF)), F.shiftleft((2 * i + 1).cast("long"), HALF).bitwiseOR(x.bitwiseAND(low)))))
     ball = F.array(*[F.lit(x).cast("long") for x in (0, *(1 << i for i in range(HALF)))])
-    return F.flatten(F.transform(segments, lambda s: F.transform(ball, lambda b: s.bitwiseXOR(b))))
+    return F.flatten(F.transform(segments(fp), lambda s: F.transform(ball, lambda b: s.bitwiseXOR(b))))
 
 
 def distance(u: str, v: str) -> Column:

@@ -2,9 +2,11 @@
 
 Two texts link where the similarity of their sets of 64-bit shingle hashes is ``share`` or more. Candidates come
 from SimHash fingerprints of the sets, of 192 bits, by multi-index hashing (``simhash.near_segments``): fingerprints
-meet where a segment of 32 bits differs in two bits or fewer, which is sure up to 17 bits in all. Those that meet in a
-value are compared with ``ROUNDS`` of them, which is linear in groups of copies of any size. Pairs at ``DISTANCE`` bits
-or fewer are verified on the whole sets, and what has come into one component needs no more comparing.
+meet where a segment of 32 bits differs in two bits or fewer, which is sure up to 17 bits in all. Pairs at ``DISTANCE``
+bits or fewer are verified on the whole sets, and what has come into one component needs no more comparing: first, all
+of an equal segment are compared with one of them, so most of a group of copies links by a few pairs each; then those
+that meet in a near one with ``ROUNDS`` of them, where links so far leave them in different components. Either is
+linear in groups of copies of any size: a fingerprint has 6 equal segments and 198 near ones.
 
 A pair at share 0.8 lies about 29 of 192 bits apart, and no distance is sure: fingerprints alone lose links. So
 the pairs they leave are found exactly, between components only, from prefixes: under any order of all shingles, two
@@ -144,20 +146,27 @@ def verified(pairs: DataFrame, sets: DataFrame, parts: tuple[int, int], scratch:
     return pairs.join(left, "u").join(right, "v").where((a + b) * both >= a * (F.size("x") + F.size("y"))).select("u", "v").distinct()
 
 
-def fingerprint_pairs(fps: DataFrame, scratch: common.Scratch) -> DataFrame:
-    """(u, v): of fingerprints that meet in a segment, each with ``ROUNDS`` of them, where they are near."""
-    spread = fps.select("node", F.explode(simhash.near_segments("fp")).alias("key")).repartition("key")  # one shuffle for both uses
-    several = spread.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
+def rooted(prefixes: DataFrame, nodes: DataFrame | None) -> DataFrame:
+    """prefixes with the root of each node; a node without one is its own."""
+    return prefixes.withColumn("root", F.col("node")) if nodes is None else prefixes.join(nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def fingerprint_pairs(prefixes: DataFrame, nodes: DataFrame | None, keys: Column, rounds: int, parts: tuple[int, int], scratch: common.Scratch) -> DataFrame:
+    """(u, v): of fingerprints that meet in one of ``keys``, each with ``rounds`` of them, where roots differ and fingerprints and bitmaps are near."""
+    spread = rooted(prefixes.select("node", "fp"), nodes).select("node", "root", F.explode(keys).alias("key")).repartition("key")  # one shuffle for both uses
+    several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     met = scratch.table(spread.join(several, "key"), "met")
-    ones = met.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by("node", F.xxhash64(F.lit(k), "node")) for k in range(ROUNDS)])).alias("ones"))
-    pairs = met.join(ones, "key").select("node", F.explode("ones").alias("one")).where("node <> one").select(F.least("node", "one").alias("u"), F.greatest("node", "one").alias("v")).distinct()
-    return pairs.join(fps.toDF("u", "a"), "u").join(fps.toDF("v", "b"), "v").where(simhash.distance("a", "b") <= DISTANCE).select("u", "v")
+    ones = met.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "node")) for k in range(rounds)])).alias("ones"))
+    pairs = met.join(ones, "key").select("node", "root", F.explode("ones").alias("one")).where("root <> one.root")
+    pairs = pairs.select(F.least("node", "one.node").alias("u"), F.greatest("node", "one.node").alias("v")).distinct()
+    of = prefixes.select("node", F.struct("fp", "of.size", "of.bitmap").alias("of"))
+    near = (simhash.distance("a.fp", "b.fp") <= DISTANCE) & possible("a", "b", parts)
+    return pairs.join(of.toDF("u", "a"), "u").join(of.toDF("v", "b"), "v").where(near).select("u", "v")
 
 
 def prefix_pairs(prefixes: DataFrame, nodes: DataFrame | None, parts: tuple[int, int], scratch: common.Scratch) -> DataFrame:
     """(u, v): all nodes of different roots that share a prefix shingle and may have the similarity; a node without a root is its own."""
-    rooted = prefixes.withColumn("root", F.col("node")) if nodes is None else prefixes.join(nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    spread = rooted.select("node", "root", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
+    spread = rooted(prefixes, nodes).select("node", "root", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
     several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     shared = scratch.table(spread.join(several, "key"), "shared")
     buckets = scratch.table(shared.join(prefixes.select("node", "of"), "node").select("key", "root", F.struct("node", "of.size", "of.bitmap", "pos").alias("of")), "buckets")
@@ -175,10 +184,10 @@ def roots(docs: DataFrame, scratch: common.Scratch, text: str, width: int, parts
     rows = scratch.table(held.select("doc_id", "text_hash", "node"), "rows")
     prefixes = scratch.table(held.groupBy("node").agg(F.first(F.struct("size", "bitmap")).alias("of"), F.first("fp").alias("fp"), F.first("shingles").alias("shingles")), "prefixes")
     scratch.drop("held")
-    edges, nodes = None, None
-    for name in ["fingerprints", "rest"] if ROUNDS else ["rest"]:
+    nodes = None
+    for name, keys, rounds in [("equal", simhash.segments("fp"), 1), ("near", simhash.near_segments("fp"), ROUNDS), ("rest", None, 0)] if ROUNDS else [("rest", None, 0)]:
         with common.Scratch(spark, f"similar-{name}") as inner:
-            pairs = fingerprint_pairs(prefixes.select("node", "fp"), inner) if name == "fingerprints" else prefix_pairs(prefixes.drop("fp"), nodes, parts, inner)
+            pairs = fingerprint_pairs(prefixes, nodes, keys, rounds, parts, inner) if rounds else prefix_pairs(prefixes.drop("fp"), nodes, parts, inner)
             pairs = inner.table(pairs, "pairs")
             if pairs.isEmpty():
                 continue
@@ -191,7 +200,8 @@ def roots(docs: DataFrame, scratch: common.Scratch, text: str, width: int, parts
             new = scratch.table(verified(pairs, sets, parts, inner, "pairs"), f"links-{name}")
             if new.isEmpty():
                 continue
-            edges = new if edges is None else edges.unionAll(new)
+            # Of the links before, one a node is enough: that with its root.
+            edges = new if nodes is None else new.unionAll(nodes.select(F.col("node").alias("u"), F.col("root").alias("v")))
             nodes = scratch.table(components.connected_components(edges, inner), f"nodes-{name}")
     frequent.destroy()
     return rows, nodes if nodes is not None else spark.createDataFrame([], "node long, root long")

@@ -104,3 +104,23 @@ def test_links_by_fingerprints(spark, monkeypatch):
     docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(rows)], SCHEMA)
     kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect())
     assert kept == list(range(0, 80, 4)) == brute_force([*enumerate(rows)])
+
+
+def test_pairs_of_a_large_group(spark, monkeypatch):
+    """What links already hold together isn't compared again: pairs are a few for each copy, not dozens."""
+    rng, compared, verified = np.random.default_rng(1), [], similar.verified
+    base = [f"b{i}" for i in rng.integers(0, 1 << 30, 150)]
+    rows = [(i, " ".join(changed(rng, base, 1 + i % 3))) for i in range(400)]
+    monkeypatch.setattr(similar, "verified", lambda pairs, *more: compared.append(pairs.count()) or verified(pairs, *more))
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, DATA).collect())
+    assert kept == brute_force(rows)
+    assert 0 < sum(compared) < 20 * len(rows), compared
+
+
+def test_segments(spark):
+    """A fingerprint's segments are among the values that its near segments are looked up by, each with its number."""
+    df = spark.createDataFrame([([-1, 0, 5 << 32 | 7],)], "fp array<long>")
+    got = df.select(simhash.segments("fp").alias("x"), simhash.near_segments("fp").alias("y")).first()
+    assert got["x"] == [0xFFFFFFFF, 1 << 32 | 0xFFFFFFFF, 2 << 32, 3 << 32, 4 << 32 | 5, 5 << 32 | 7]
+    assert [got["y"][33 * k] for k in range(6)] == got["x"]
