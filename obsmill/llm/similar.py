@@ -157,8 +157,8 @@ def fingerprint_pairs(prefixes: DataFrame, nodes: DataFrame | None, keys: Column
     several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     met = scratch.table(spread.join(several, "key"), "met")
     ones = met.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "node")) for k in range(rounds)])).alias("ones"))
-    pairs = met.join(ones, "key").select("node", "root", F.explode("ones").alias("one")).where("root <> one.root")
-    pairs = pairs.select(F.least("node", "one.node").alias("u"), F.greatest("node", "one.node").alias("v")).distinct()
+    others = F.filter("ones", lambda one: one["root"] != F.col("root"))  # before they become rows
+    pairs = met.join(ones, "key").select("node", F.explode(others).alias("one")).select(F.least("node", "one.node").alias("u"), F.greatest("node", "one.node").alias("v")).distinct()
     of = prefixes.select("node", F.struct("fp", "of.size", "of.bitmap").alias("of"))
     near = (simhash.distance("a.fp", "b.fp") <= DISTANCE) & possible("a", "b", parts)
     return pairs.join(of.toDF("u", "a"), "u").join(of.toDF("v", "b"), "v").where(near).select("u", "v")
