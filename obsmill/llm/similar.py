@@ -146,16 +146,13 @@ def verified(pairs: DataFrame, sets: DataFrame, parts: tuple[int, int], scratch:
     return pairs.join(left, "u").join(right, "v").where((a + b) * both >= a * (F.size("x") + F.size("y"))).select("u", "v").distinct()
 
 
-def rooted(prefixes: DataFrame, nodes: DataFrame | None) -> DataFrame:
-    """prefixes with the root of each node; a node without one is its own."""
-    return prefixes.withColumn("root", F.col("node")) if nodes is None else prefixes.join(nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-
 def fingerprint_pairs(prefixes: DataFrame, nodes: DataFrame | None, keys: Column, rounds: int, parts: tuple[int, int], scratch: common.Scratch) -> DataFrame:
     """(u, v): of fingerprints that meet in one of ``keys``, each with ``rounds`` of them, where roots differ and fingerprints and bitmaps are near."""
-    spread = rooted(prefixes.select("node", "fp"), nodes).select("node", "root", F.explode(keys).alias("key")).repartition("key")  # one shuffle for both uses
-    several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    met = scratch.table(spread.join(several, "key"), "met")
+    linked = prefixes.select("node", "fp", F.lit(None).cast("long").alias("root")) if nodes is None else prefixes.select("node", "fp").join(nodes, "node", "left")
+    spread = linked.select("node", "root", F.explode(keys).alias("key")).repartition("key")  # one shuffle for both uses, as either reads both columns
+    root = F.coalesce("root", "node")
+    several = spread.groupBy("key").agg(F.min(root).alias("a"), F.max(root).alias("b")).where("a <> b").select("key")
+    met = scratch.table(spread.join(several, "key").select("key", "node", root.alias("root")), "met")
     ones = met.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by(F.struct("node", "root"), F.xxhash64(F.lit(k), "node")) for k in range(rounds)])).alias("ones"))
     others = F.filter("ones", lambda one: one["root"] != F.col("root"))  # before they become rows
     pairs = met.join(ones, "key").select("node", F.explode(others).alias("one")).select(F.least("node", "one.node").alias("u"), F.greatest("node", "one.node").alias("v")).distinct()
@@ -166,7 +163,8 @@ def fingerprint_pairs(prefixes: DataFrame, nodes: DataFrame | None, keys: Column
 
 def prefix_pairs(prefixes: DataFrame, nodes: DataFrame | None, parts: tuple[int, int], scratch: common.Scratch) -> DataFrame:
     """(u, v): all nodes of different roots that share a prefix shingle and may have the similarity; a node without a root is its own."""
-    spread = rooted(prefixes, nodes).select("node", "root", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
+    rooted = prefixes.withColumn("root", F.col("node")) if nodes is None else prefixes.join(nodes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    spread = rooted.select("node", "root", F.posexplode("shingles").alias("pos", "key")).repartition("key")  # one shuffle for both uses
     several = spread.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     shared = scratch.table(spread.join(several, "key"), "shared")
     buckets = scratch.table(shared.join(prefixes.select("node", "of"), "node").select("key", "root", F.struct("node", "of.size", "of.bitmap", "pos").alias("of")), "buckets")
